@@ -1,0 +1,20 @@
+"""Join helpers with an explicit size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side above this many rows is shuffled instead.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    The check is a bounded count (``limit(max_rows + 1).count()``), so it
+    stops early on a large side.  Otherwise the plan keeps a shuffle join,
+    which AQE can still convert when runtime sizes turn out small.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
