@@ -41,6 +41,19 @@ _ARTICLE_RX = "|".join(ARTICLE_PATTERNS)
 
 # ---------------------------------------------------------------- column helpers
 
+def stop_pushdown(c: Column) -> Column:
+    """Mark the projection holding ``c`` non-deterministic.
+
+    Catalyst pushes a filter through a deterministic projection by inlining
+    the filtered columns' definitions; over the stacked projections of URL
+    parsing that inlining grows exponentially (and would also re-run the
+    regexes).  A projection with a non-deterministic expression stops the
+    filter right above it.  Filters on the *input* columns belong before
+    these transforms, where they still reach the scan.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def query_escape(s: Column) -> Column:
     """Go ``url.QueryEscape``: space as '+', keep ``-_.~``, escape the rest."""
     enc = F.url_encode(s)  # Java URLEncoder keeps .-*_ and escapes ~
@@ -210,7 +223,7 @@ def parse_urls(df: DataFrame, src: str, p: str) -> DataFrame:
         ),
     ).otherwise(F.lit(""))
     df = df.withColumns({
-        f"{p}_ok": F.coalesce(ok, F.lit(False)),
+        f"{p}_ok": stop_pushdown(F.coalesce(ok, F.lit(False))),
         f"{p}_opaque": opaque,
         f"{p}_host": hostname,
         f"{p}_path": F.when(opaque, F.lit("")).otherwise(decode_path(rp)),
@@ -262,7 +275,7 @@ def normalize_urls(df: DataFrame, src: str = "url", out: str = "norm_url", keep_
     p = keep_parts or f"_{out}"
     df = parse_urls(df, src, p)
     df = df.withColumn(f"{p}_cq", canonical_query(F.col(f"{p}_query")))
-    df = df.withColumn(out, _assemble_normalized(p))
+    df = df.withColumn(out, stop_pushdown(_assemble_normalized(p)))
     drop = [f"{p}_cq"] + ([] if keep_parts else url_part_columns(p))
     return df.drop(*drop)
 
@@ -288,7 +301,7 @@ def relative_paths(df: DataFrame, norm: str = "norm_url", out: str = "relative_p
     rel = F.when(lossy, F.concat(base, F.lit("--"), short_hash(F.col(norm)), F.lit(".md"))).otherwise(
         F.concat(base, F.lit(".md"))
     )
-    df = df.withColumn(out, F.when(F.col(norm).isNotNull() & (F.col(f"{p}_host") != ""), rel))
+    df = df.withColumn(out, stop_pushdown(F.when(F.col(norm).isNotNull() & (F.col(f"{p}_host") != ""), rel)))
     return df.drop(*url_part_columns(p), f"{p}_orig", f"{p}_clean")
 
 
@@ -350,5 +363,5 @@ def resolve_urls(df: DataFrame, base: str, ref: str, out: str) -> DataFrame:
     )
     res = F.when(F.col(f"{r}_has_scheme") | F.col(f"{r}_has_auth"), absolute).otherwise(from_base)
     ok = ~F.col(ref).startswith("#") & F.col(f"{b}_ok") & F.col(f"{r}_ok")
-    df = df.withColumn(out, F.when(ok, res))
+    df = df.withColumn(out, stop_pushdown(F.when(ok, res)))
     return df.drop(*url_part_columns(b), *url_part_columns(r), f"{out}_m")

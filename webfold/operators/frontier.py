@@ -5,14 +5,14 @@ joins (never a per-URL loop):
 
     cand  = frontier(level k, fetched pages only) ⋈ links      (J3, S6)
     cand  = cand ∩ allowed(job)                                  (F3, J1)
-    cand  = groupBy(job, url).min(parent_rank, position)         (A3, partial agg)
+    cand  = groupBy(job, url).min(ord ++ [position])             (A3, partial agg)
     cand  = cand ▷ scheduled                                     (J2, left_anti)
-    new   = rank per job ≤ remaining budget                      (W1, W2)
+    new   = first ``remaining`` per job in ord order             (W1, W2)
     scheduled ∪= new ; checkpoint                                (O4)
 
 Ordering (W4): level 1 is the sitemap URLs in document order, then the
-homepage; level k+1 is ordered by (rank of the parent in level k, link
-position, url).  The budget counts scheduled URLs (discovered); a URL
+homepage; a URL found at level k+1 gets ``ord = parent ord ++ [link
+position]`` (lexicographic order = parent order, then position).  The budget counts scheduled URLs (discovered); a URL
 refused by depth or scope never takes a slot (W2), so refusals are filters
 applied before ranking.
 

@@ -78,7 +78,10 @@ def expand_sitemaps(roots: DataFrame, docs: DataFrame, max_levels: int | None =
     root (document order).  Cycles end via the anti-join on seen documents;
     ``max_levels`` (default: none) only bounds pathological depth.
     """
+    # parse every document once; later levels join against the written table
     locs = sitemap_locs(docs)
+    if checkpoint:
+        locs = locs.checkpoint()
     frontier = roots.select("job_id", "domain", "prio", F.col("root_url").alias("doc_url"),
                             F.array().cast("array<int>").alias("ord"))
     seen = frontier.select("job_id", "prio", "doc_url")

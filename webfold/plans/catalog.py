@@ -462,3 +462,121 @@ def _deep_sql() -> str:
 
 
 ORACLE["deep_frontier"] = _deep_sql()
+
+
+# ------------------------------------------------------------------ quality: F13-F16/F18, A8, A10, J6, U17
+
+from webfold.operators import quality as QA  # noqa: E402
+
+_SIG_COLS = ["page_id"] + list(QA.SIGNALS) + ["body_bytes", "signal_score"]
+
+
+def _signals_sql() -> str:
+    flags = ", ".join(f"coalesce({O.rx_like('html', rx)}, false) AS {n}" for n, rx in QA.SIGNALS.items())
+    total = " + ".join(f"CAST({n} AS INTEGER)" for n in QA.SIGNALS)
+    return (f"SELECT *, CAST({total} AS INTEGER) AS signal_score FROM (SELECT page_id, {flags}, "
+            f"CAST(coalesce(octet_length(encode(html)), 0) AS BIGINT) AS body_bytes FROM pages)")
+
+
+register("html_signals", _signals_sql())(
+    lambda spark, d: QA.html_signals(_pages(spark, d)).select(*_SIG_COLS))
+
+
+def _link_density_sql() -> str:
+    c = O.extract_chain("SELECT page_id, url, html FROM pages")
+    c.add({"_lt": f"array_to_string(regexp_extract_all(content_html, {O.q(QA.LINK_TEXT)}, 1), ' ')"})
+    c.add({"link_chars": f"CAST(length({O.inline_text('_lt')}) AS BIGINT)",
+           "text_chars": "CAST(length(text_content) AS BIGINT)"})
+    return c.sql("SELECT page_id, link_chars, text_chars, link_chars * 100 <= text_chars * 50 AS link_density_ok FROM {prev}")
+
+
+register("link_density", _link_density_sql())(
+    lambda spark, d: QA.link_density(_extracted(spark, d)).select("page_id", "link_chars", "text_chars", "link_density_ok"))
+
+register("boilerplate_ratio", _extract_sql(
+    f"SELECT page_id, CAST(word_count AS BIGINT) AS word_count, "
+    f"CAST(len(regexp_extract_all(lower(text_content), {O.q(QA.BOILERPLATE_RX)})) AS BIGINT) AS phrase_hits, "
+    f"len(regexp_extract_all(lower(text_content), {O.q(QA.BOILERPLATE_RX)})) * 100 <= word_count * 2 AS boilerplate_ok "
+    f"FROM {{prev}}"))(
+    lambda spark, d: QA.boilerplate_ratio(_extracted(spark, d)).select("page_id", "word_count", "phrase_hits", "boilerplate_ok"))
+
+
+def _url_shape_sql() -> str:
+    c = O.normalize_cols(O.Chain("SELECT page_id, url FROM pages"), "url", "norm_url")
+    c.step("SELECT page_id, norm_url FROM {prev}")
+    O.parse_url_cols(c, "norm_url", "_q")
+    c.add({"n_query_pairs": "CAST(CASE WHEN _q_query = '' THEN 0 ELSE len(string_split(_q_query, '&')) END AS INTEGER)",
+           "is_media": f"coalesce({O.rx_like('_q_path', QA.MEDIA_EXT)}, false)"})
+    return c.sql("SELECT page_id, norm_url, n_query_pairs, is_media, n_query_pairs <= 3 AND NOT is_media AS url_ok FROM {prev}")
+
+
+register("url_shape", _url_shape_sql())(
+    lambda spark, d: QA.url_shape(normalize_urls(_pages(spark, d).select("page_id", "url"), "url", "norm_url")))
+
+
+def _blocks_chain() -> O.Chain:
+    pre = O.rx_replace("coalesce(html, '')", T.PRECLEAN, "")
+    markup = O.rx_replace(O.rx_replace(pre, T.BLOCK_TAGS, "\n"), T.ANY_TAG, "")
+    c = O.Chain(f"SELECT page_id, url, {markup} AS _m FROM pages", "b")
+    c.add({"_t": O.rx_replace(O.rx_replace(O.rx_replace(O.decode_entities("_m"), T.HSPACE_RUN, " "), T.NL_RUN, "\n"),
+                              T.TRIM_WS, "")})
+    O.parse_url_cols(c, "url", "_b")
+    c.step("SELECT page_id, _b_host AS host, unnest(string_split(_t, chr(10))) AS block FROM {prev}")
+    c.step("SELECT page_id, host, sha256(block) AS block_hash FROM {prev} WHERE block <> ''")
+    return c
+
+
+register("template_blocks", _blocks_chain().sql(
+    "SELECT b.host, b.block_hash, b.n_pages, h.host_pages FROM "
+    "(SELECT host, block_hash, count(DISTINCT page_id) AS n_pages FROM {prev} GROUP BY host, block_hash) b "
+    "JOIN (SELECT host, count(DISTINCT page_id) AS host_pages FROM {prev} GROUP BY host) h ON b.host = h.host "
+    "WHERE b.n_pages >= 2 AND b.n_pages * 100 >= h.host_pages * 50"))(
+    lambda spark, d: QA.template_blocks(_pages(spark, d)).select("host", "block_hash", "n_pages", "host_pages"))
+
+
+def q_quality(spark, d):
+    return QA.quality_scores(_extracted(spark, d), QA.html_signals(_pages(spark, d)))
+
+
+register("top_quality_pages")(lambda spark, d: QA.top_quality_pages(q_quality(spark, d)).select(
+    "host", "host_rank", "page_id", "norm_url", "quality_score"))
+
+register("canonical_identity", _extract_sql(
+    "SELECT page_id, norm_url, identity_url, count(*) OVER (PARTITION BY identity_url) AS n_aliases FROM "
+    "(SELECT page_id, norm_url, CASE WHEN canonical_url <> '' THEN canonical_url ELSE norm_url END AS identity_url "
+    "FROM {prev} WHERE norm_url IS NOT NULL)"))(
+    lambda spark, d: QA.canonical_identity(_extracted(spark, d)).select("page_id", "norm_url", "identity_url", "n_aliases"))
+
+register("page_event_json")(lambda spark, d: QA.page_event_json(_q_crawled(spark, d)))
+
+
+# ------------------------------------------------------------------ streaming: T1-T6
+
+import uuid as _uuid  # noqa: E402
+
+from webfold.session import scratch_path  # noqa: E402
+from webfold.streaming import pipeline as ST  # noqa: E402
+
+
+def _stream_out(spark, df, name, mode="append"):
+    run = f"{name}-{_uuid.uuid4().hex[:12]}"
+    sink, ckpt = scratch_path(spark, f"stream/{run}/out"), scratch_path(spark, f"stream/{run}/checkpoint")
+    ST.run_available_now(df, sink, ckpt, mode=mode)
+    return spark.read.parquet(sink)
+
+
+@register("stream_manifest", _long_chain().step(
+    "SELECT page_id, norm_url, canonical_url, title, word_count, sha256(text_content) AS content_hash FROM {prev}").sql(
+    "SELECT norm_url AS url, canonical_url, title, word_count, content_hash FROM {prev}"))
+def q_stream_manifest(spark, d):
+    stream = ST.read_page_stream(spark, d, glob="pages.parquet", max_files_per_trigger=1)
+    out = _stream_out(spark, ST.stream_manifest(stream, MIN_WORDS), "manifest")
+    return out.select("url", "canonical_url", "title", "word_count", "content_hash")
+
+
+@register("stream_counters")
+def q_stream_counters(spark, d):
+    stream = ST.read_page_stream(spark, d, glob="pages.parquet")
+    crawled = ST.job_of_url(P.crawled_pages(E.extract_articles(stream), MIN_WORDS), "url")
+    deduped = ST.dedup_urls_within_watermark(crawled)
+    return _stream_out(spark, ST.windowed_counters(deduped), "counters")

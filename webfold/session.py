@@ -28,6 +28,9 @@ def get_spark(master: str | None = None, app: str = "webfold", shuffle_partition
         # big html strings: keep Arrow batches small
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     }
+    if master and master.startswith("local"):
+        # local runs only: the driver is the executor; deep plans need heap
+        conf["spark.driver.memory"] = os.environ.get("WEBFOLD_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
