@@ -123,6 +123,11 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
     caps, finite_max_depth, any_unlimited_depth = stats["cap"], stats["depth"] or 0, bool(stats["unl"])
     fetched = fetched.select("url").distinct()
     limits = jobs.select("job_id", "max_pages", "max_depth")
+    edges = links.select("src_url", "position", "dst_url")
+    if checkpoint:
+        # every level reads these: write them once, keep the loop's plans small
+        jobs, fetched, edges = jobs.checkpoint(), fetched.checkpoint(), edges.checkpoint()
+        limits = jobs.select("job_id", "max_pages", "max_depth")
 
     def budget_after(scheduled: DataFrame | None) -> DataFrame:
         used = (scheduled.groupBy("job_id").agg(F.count("*").alias("used")) if scheduled is not None
@@ -136,13 +141,15 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
     def dedup(c: DataFrame) -> DataFrame:
         return c.groupBy("job_id", "url").agg(F.min("okey").alias("okey"))
 
-    level = _within_budget(dedup(seeds(jobs, sitemap_urls)), budget_after(None), caps)
+    first = dedup(seeds(jobs, sitemap_urls))
+    if checkpoint:
+        first = first.checkpoint()
+    level = _within_budget(first, budget_after(None), caps)
     level = level.withColumn("depth", F.lit(1))
     if checkpoint:
         level = level.checkpoint()
     scheduled = level
     depth = 1
-    edges = links.select("src_url", "position", "dst_url")
     while any_unlimited_depth or depth < finite_max_depth:
         # expand fetched pages of jobs whose depth limit allows another level
         parents = (level.join(fetched, "url", "left_semi")

@@ -37,9 +37,17 @@ def register(name: str, sql: str | None = None):
 
 
 def _pages(spark, d):
+    _prepare(spark)
     return read_table(spark, d, "pages")
 
 
+def _prepare(spark):
+    """Session settings and checkpoint folder for the driver's own session."""
+    from webfold.session import configure_session, ensure_checkpoint_dir
+    configure_session(spark)
+    ensure_checkpoint_dir(spark)
+
+
 def _extracted(spark, d):
     return E.extract_articles(_pages(spark, d))
 
@@ -242,6 +250,7 @@ register("error_rows", _errors_sql())(lambda spark, d: E.page_errors(_pages(spar
 # ------------------------------------------------------------------ documents: U9 / U10 / U11 / A7
 
 def _docs(spark, d):
+    _prepare(spark)
     return read_table(spark, d, "documents")
 
 
@@ -578,5 +587,5 @@ def q_stream_manifest(spark, d):
 def q_stream_counters(spark, d):
     stream = ST.read_page_stream(spark, d, glob="pages.parquet")
     crawled = ST.job_of_url(P.crawled_pages(E.extract_articles(stream), MIN_WORDS), "url")
-    deduped = ST.dedup_urls_within_watermark(crawled)
-    return _stream_out(spark, ST.windowed_counters(deduped), "counters")
+    deduped = ST.dedup_urls_within_watermark(crawled.withWatermark("crawled_at", "10 minutes"), delay=None)
+    return _stream_out(spark, ST.windowed_counters(deduped, delay=None), "counters")

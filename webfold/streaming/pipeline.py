@@ -51,10 +51,13 @@ def stream_manifest(pages: DataFrame, min_word_count: int = 250, crawled_at=DEFA
     return manifest_rows(extract_articles(pages), min_word_count, crawled_at, dedup=False)
 
 
-def dedup_urls_within_watermark(df: DataFrame, delay: str = "1 hour", ts: str = "crawled_at",
+def dedup_urls_within_watermark(df: DataFrame, delay: str | None = "1 hour", ts: str = "crawled_at",
                                 keys: tuple[str, ...] = ("job_id", "url")) -> DataFrame:
-    """T4: drop a (job, URL) already seen within the watermark delay."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """T4: drop a (job, URL) already seen within the watermark delay
+    (``delay=None`` keeps a watermark set upstream)."""
+    if delay:
+        df = df.withWatermark(ts, delay)
+    return df.dropDuplicatesWithinWatermark(list(keys))
 
 
 def dedup_content_within_watermark(df: DataFrame, delay: str = "1 hour", ts: str = "crawled_at") -> DataFrame:
@@ -67,10 +70,13 @@ def job_of_url(df: DataFrame, url: str = "url", out: str = "job_id") -> DataFram
     return p.withColumn(out, domain_of_host(F.col("_j_host"))).drop(*[c for c in p.columns if c.startswith("_j_")])
 
 
-def windowed_counters(crawled: DataFrame, window: str = "1 hour", delay: str = "10 minutes",
+def windowed_counters(crawled: DataFrame, window: str = "1 hour", delay: str | None = "10 minutes",
                       ts: str = "crawled_at") -> DataFrame:
-    """Pages and words per job and event-time window (append mode)."""
-    return (crawled.withWatermark(ts, delay)
+    """Pages and words per job and event-time window (append mode);
+    ``delay=None`` keeps a watermark set upstream (one per stream)."""
+    if delay:
+        crawled = crawled.withWatermark(ts, delay)
+    return (crawled
             .groupBy("job_id", F.window(ts, window).alias("w"))
             .agg(F.count("*").alias("pages_extracted"), F.sum("word_count").alias("words"))
             .select("job_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
