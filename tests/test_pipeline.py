@@ -57,7 +57,7 @@ def test_frontier_scope_and_blacklist(spark):
         "job_id string, domain string, allowed_domains array<string>, max_pages int, max_depth int, discovery_mode string"))
     links = page_links(pages).select("src_url", "position", "dst_url")
     fetched = pages.select("url")
-    fr = crawl_frontier(jobs, links, fetched, None, checkpoint=False).collect()
+    fr = crawl_frontier(jobs, links, fetched, None).collect()
     urls = {r.url for r in fr}
     assert urls == {"https://example.com/", "https://example.com/blog/first-post",
                     "https://example.com/blog/second-post", "https://example.com/about"}
@@ -70,7 +70,7 @@ def test_budget(spark):
         [("j", "example.com", ["example.com", "www.example.com"], 5, 4, "links")],
         "job_id string, domain string, allowed_domains array<string>, max_pages int, max_depth int, discovery_mode string")
     fr = crawl_frontier(jobs, page_links(pages).select("src_url", "position", "dst_url"), pages.select("url"),
-                        None, checkpoint=False)
+                        None)
     rows = fr.orderBy("ord").collect()
     assert len(rows) == 5
     assert [r.url for r in rows] == ["https://example.com/"] + [f"https://example.com/p{i}" for i in range(4)]
@@ -83,7 +83,7 @@ def test_duplicate_links_use_no_budget(spark):
         [("j", "example.com", ["example.com", "www.example.com"], 3, 4, "links")],
         "job_id string, domain string, allowed_domains array<string>, max_pages int, max_depth int, discovery_mode string")
     fr = crawl_frontier(jobs, page_links(pages).select("src_url", "position", "dst_url"), pages.select("url"),
-                        None, checkpoint=False)
+                        None)
     assert sorted(r.url for r in fr.collect()) == ["https://example.com/", "https://example.com/duplicate",
                                                    "https://example.com/unique"]
 

@@ -20,7 +20,7 @@ def test_urlset_dedup(spark):
                                    urlset("https://example.com/a", "https://example.com/b", "https://example.com/a"))],
                                  "doc_url string, status int, body string")
     assert sitemap_locs(docs).count() == 3
-    seeds = sitemap_seed_urls(jobs_df(spark), docs, checkpoint=False).orderBy("ord").collect()
+    seeds = sitemap_seed_urls(jobs_df(spark), docs).orderBy("ord").collect()
     assert [r.loc for r in seeds] == ["https://example.com/a", "https://example.com/b"]
 
 
@@ -30,7 +30,7 @@ def test_index_child_and_external_child(spark):
         ("https://cdn.other.com/s.xml", 200, urlset("https://example.com/external")),
         ("https://example.com/child.xml", 200, urlset("https://example.com/post")),
     ], "doc_url string, status int, body string")
-    seeds = sitemap_seed_urls(jobs_df(spark), docs, checkpoint=False).collect()
+    seeds = sitemap_seed_urls(jobs_df(spark), docs).collect()
     assert [r.loc for r in seeds] == ["https://example.com/post"]
 
 
@@ -39,7 +39,7 @@ def test_fallback_404_and_bad_xml(spark):
         ("https://example.com/sitemap.xml", 404, urlset("https://example.com/x")),
         ("https://example.com/sitemap_index.xml", 200, urlset("https://example.com/y")),
     ], "doc_url string, status int, body string")
-    assert [r.loc for r in sitemap_seed_urls(jobs_df(spark), docs, checkpoint=False).collect()] == ["https://example.com/y"]
+    assert [r.loc for r in sitemap_seed_urls(jobs_df(spark), docs).collect()] == ["https://example.com/y"]
     bad = spark.createDataFrame([("https://example.com/sitemap.xml", 200, "this is not xml")],
                                 "doc_url string, status int, body string")
     assert sitemap_locs(bad).count() == 0
@@ -53,5 +53,5 @@ def test_cyclic_index_ends(spark):
     ], "doc_url string, status int, body string")
     roots = spark.createDataFrame([("j", "example.com", 0, "https://example.com/sitemap.xml")],
                                   "job_id string, domain string, prio int, root_url string")
-    out = expand_sitemaps(roots, docs, checkpoint=False).collect()
+    out = expand_sitemaps(roots, docs).collect()
     assert [r.loc for r in out] == ["https://example.com/z"]
