@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,6 +26,7 @@ def get_spark(master: str | None = None, app: str = "webfold", shuffle_partition
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # big html strings: keep Arrow batches small
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     }
@@ -67,14 +69,19 @@ def configure_session(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, read from ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (tests, local
-    runs) a fresh local folder is made.
+    A cluster names a shared folder there.  Only a local master may leave it
+    unset: driver and executors are then one process, and a fresh temporary
+    folder serves; anywhere else that would be a folder of one machine, so it
+    is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="webfold-ckpt-", dir=os.environ.get("WEBFOLD_TMP", "/tmp"))
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="webfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
