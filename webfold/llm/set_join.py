@@ -63,8 +63,8 @@ def set_digest(tokens: np.ndarray) -> bytes:
 
 
 def _keys(tokens: np.ndarray) -> list[int]:
-    low = [(tokens.view(np.uint64) ^ s).min() for s in SEEDS]
-    return [int((low[a] * np.uint64(0x9E3779B97F4A7C15) + low[b]).astype(np.int64)) for a, b in ((0, 1), (2, 3), (0, 2), (1, 3))]
+    low = np.array([(tokens.view(np.uint64) ^ s).min() for s in SEEDS])
+    return (low[[0, 2, 0, 1]] * np.uint64(0x9E3779B97F4A7C15) + low[[1, 3, 2, 3]]).view(np.int64).tolist()
 
 
 _PROFILE = pa.schema([("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())),
