@@ -69,10 +69,10 @@ def _sigmoid(x: float) -> float:
 
 @dataclass(frozen=True)
 class Ftrl:
-    alpha: float = 0.15
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 1.5
-    l2: float = 1.0
+    l1: float = 2.0
+    l2: float = 0.0
 
     def weights(self, z: np.ndarray, n: np.ndarray, l1: np.ndarray | float) -> np.ndarray:
         return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
@@ -128,8 +128,8 @@ def _epoch(state, ftrl: Ftrl, seed: int):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 12_000, min_docs: int = 4,
-          max_features: int = 1 << 18, epochs: int = 4, ftrl: Ftrl = Ftrl()) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 16_000, min_docs: int = 4,
+          max_features: int = 1 << 18, epochs: int = 8, ftrl: Ftrl = Ftrl()) -> Model:
     """Learn from labelled rows that are not held out."""
     spark = docs.sparkSession
     usable = (labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1) & ~held_out())
