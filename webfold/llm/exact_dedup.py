@@ -83,11 +83,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns.
 
-    The decisions join back by id and digest; whichever of several rows with
-    one id and one text comes first stays.
+    The decisions join back by id and digest; one of several rows with one id
+    and one text stays.
     """
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    named = docs.withColumn("_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).withColumn("_id", F.col(id_col))
-    joined = named.join(kept.withColumn("_one", F.lit(True)), [named["_sha"] == kept["_sha"], named["_id"].eqNullSafe(kept["_id"])], "left_semi")
-    first = Window.partitionBy("_sha", "_id").orderBy(F.lit(1))
-    return joined.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", "_sha", "_id")
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("keep"), F.col("text_sha256").alias("of"))
+    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), docs[id_col].alias("id"),
+                        F.sha2(F.coalesce(docs[text_col], F.lit("")), 256).alias("sha"))
+    joined = named.join(kept, (F.col("sha") == F.col("of")) & F.col("id").eqNullSafe(F.col("keep")), "left_semi")
+    one = Window.partitionBy("sha", "id").orderBy(F.lit(1))
+    return joined.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("whole.*")

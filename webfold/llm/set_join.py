@@ -199,10 +199,14 @@ def _may_link(x: Column, q: Column, s: Column) -> Column:
     return 9 * (x + F.greatest(_rest(q), _rest(s))) >= 4 * (q + s)
 
 
+def text_md5(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per input row: doc_id, n_shingles, component (a number per class), component_id (its smallest doc_id)."""
+    """A row per input row: doc_id, md5 (of the text), n_shingles, component (a number per class), component_id (its smallest doc_id)."""
     spark = docs.sparkSession
-    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_md5(F.col(text_col)).alias("md5"))
     kind = named.schema["doc_id"].dataType.simpleString()
 
     def profile(batches):
@@ -210,14 +214,14 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
         def texts():
             for b in batches:
-                ids.append(b.column(1))
+                ids.append((b.column(1), b.column(3)))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2)], names=["row", "text"])
         for out in _profiles(texts()):
-            yield pa.RecordBatch.from_arrays([ids.pop(0) if ids else pa.nulls(1, id_type), *out.columns], names=["doc_id", *out.schema.names])
+            yield pa.RecordBatch.from_arrays([*(ids.pop(0) if ids else (pa.nulls(1, id_type), pa.nulls(1, pa.binary()))), *out.columns], names=["doc_id", "md5", *out.schema.names])
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(named.schema["doc_id"].dataType)
-    profiles = cut(named.mapInArrow(profile, f"doc_id {kind}, row bigint, n bigint, digest binary, keys array<bigint>, tokens array<bigint>, counts array<bigint>"))
-    rows = profiles.where("row IS NOT NULL").select("doc_id", "row", "n", "digest", "keys")
+    profiles = cut(named.mapInArrow(profile, f"doc_id {kind}, md5 binary, row bigint, n bigint, digest binary, keys array<bigint>, tokens array<bigint>, counts array<bigint>"))
+    rows = profiles.where("row IS NOT NULL").select("doc_id", "md5", "row", "n", "digest", "keys")
     nodes = cut(rows.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")))
 
@@ -272,7 +276,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     smallest_id = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
     classes = cut(classes.join(smallest_id, "component").select("digest", "component", "component_id"))
     return (rows.join(sized(classes), "digest", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", -1 - F.col("row")).alias("component"),
+            .select("doc_id", "md5", F.col("n").alias("n_shingles"), F.coalesce("component", -1 - F.col("row")).alias("component"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
@@ -283,6 +287,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is their class's smallest, with all columns; rows without shingles all stay."""
-    gone = join_sets(docs, id_col, text_col).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"))
-    side = sized(cut(gone.distinct()))
-    return docs.join(side, docs[id_col].eqNullSafe(side["_gone"]), "left_anti")
+    gone = join_sets(docs, id_col, text_col).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    side = sized(cut(gone.select(F.col("doc_id").alias("_gone"), F.col("md5").alias("_md5")).distinct()))
+    same = docs[id_col].eqNullSafe(side["_gone"]) & (text_md5(docs[text_col]) == side["_md5"])
+    return docs.join(side, same, "left_anti")
