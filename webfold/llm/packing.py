@@ -146,18 +146,18 @@ def solve(demand: np.ndarray, capacity: int, rounds: int = ROUNDS, share: float
     left = demand.copy()
     plan: dict[bytes, int] = {}
     size = np.arange(capacity + 1) / capacity
+    priced = demand > 0
     for _ in range(rounds):
-        if not left.any():
-            break
-        open_ = left > 0
-        covered = np.where(demand > 0, 1 - left / np.maximum(demand, 1), 0)
-        config = price(np.where(open_, size * (1 + 0.05 * (np.exp(-eta * covered) - 0.5)), 0.0), capacity)
+        covered = 1 - left / np.maximum(demand, 1)
+        config = price(np.where(priced & (left > 0), size * (1 + 0.05 * (np.exp(-eta * covered) - 0.5)), 0.0), capacity)
         used = np.flatnonzero(config)
-        if (config[used] > left[used]).any():  # a few of a length are left: best fit places them
-            config = np.minimum(config, left)
-            used = np.flatnonzero(config)
-        most = int((left[used] // config[used]).min())
-        step = max(1, min(most, int((demand[used] * share // config[used]).min())))
+        if not len(used):
+            break
+        short = used[config[used] > left[used]]
+        if len(short):  # too few of a length are left for this step: they are rounding's
+            priced[short] = False
+            continue
+        step = max(1, min(int((left[used] // config[used]).min()), int((demand[used] * share // config[used]).min())))
         left[used] -= step * config[used]
         key = config.astype(np.int64).tobytes()
         plan[key] = plan.get(key, 0) + step
