@@ -18,8 +18,9 @@ calls; one with ``tool_call_id`` and ``content`` is a result.
 
 Defined results: status is ``linked``, ``unanswered`` (no result), ``orphan`` (a
 result without call), ``cycle`` (no order), or ``repeated`` (a later call of an
-id that the conversation has used); calls and results without an id are
-unanswered or orphans; ``after`` that names no call counts as none; arguments
+id that the conversation has used); calls and results without an id or a
+conversation are unanswered or orphans, without a level; a call whose whole row
+is repeated is one call; ``after`` that names no call counts as none; arguments
 that are no JSON object give the error ``not an object``; messages of other
 kinds, null or empty texts give no rows; an empty table gives no rows.
 """
@@ -88,17 +89,17 @@ def link_calls(messages: DataFrame, schemas: Schemas) -> DataFrame:
     """A row per call and per orphan result: conv_id, turn, call_id, level, status, n_errors, json."""
     calls, results = parse_messages(messages)
     calls = cut(calls)
-    named = calls.where("call_id IS NOT NULL")
-    first = named.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "item")).alias("place"))
-    marked = calls.join(first, ["conv_id", "call_id"], "left").withColumn(
-        "again", F.coalesce(F.struct("turn", "item") != F.col("place"), F.lit(False))).drop("place")
-    single = marked.where("NOT again AND call_id IS NOT NULL")
+    named = calls.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
+    single = (named.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "item", "name", "arguments", "after")).alias("c"))
+              .select("conv_id", "call_id", "c.*"))
+    place = single.select("conv_id", "call_id", F.struct("turn", "item").alias("place"))
+    later = named.join(place, ["conv_id", "call_id"]).where(F.struct("turn", "item") != F.col("place")).drop("place")
     answers = (results.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("answer")))
     order = levels(single)
     linked = (single.join(answers, ["conv_id", "call_id"], "left").join(order, ["conv_id", "call_id"], "left")
               .withColumn("status", F.when(F.col("level").isNull(), "cycle").when(F.col("answer").isNull(), "unanswered").otherwise("linked")))
-    others = (marked.where("again OR call_id IS NULL")
-              .withColumn("status", F.when(F.col("again"), "repeated").otherwise("unanswered")))
+    others = (later.withColumn("status", F.lit("repeated"))
+              .unionByName(calls.where("conv_id IS NULL OR call_id IS NULL").withColumn("status", F.lit("unanswered"))))
     orphans = (results.join(single.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
                .withColumn("status", F.lit("orphan")).withColumn("answer", F.struct("turn", "content")).drop("content"))
     rows = linked.unionByName(others, allowMissingColumns=True).unionByName(orphans, allowMissingColumns=True)

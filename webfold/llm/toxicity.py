@@ -69,7 +69,7 @@ def _sigmoid(x: float) -> float:
 
 @dataclass(frozen=True)
 class Ftrl:
-    alpha: float = 3.0
+    alpha: float = 4.0
     beta: float = 1.0
     l1: float = 2.0
     l2: float = 0.0

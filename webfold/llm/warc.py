@@ -32,7 +32,7 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, sized, utf8
@@ -50,15 +50,18 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.coalesce("html", F.lit("")), 256))
+
+
 def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, refers_to, refers_uri) of the captures whose payload another capture holds."""
+    """(page_id, digest, refers_to, refers_uri) of the captures whose payload another capture holds."""
     heads = cut(pages.select(
-        "page_id", "url", F.octet_length(F.coalesce("html", F.lit(""))).alias("bytes"),
-        F.unhex(F.sha2(F.coalesce("html", F.lit("")), 256)).alias("digest")).where(F.col("bytes") >= min_bytes))
+        "page_id", "url", F.octet_length(F.coalesce("html", F.lit(""))).alias("bytes"), _digest().alias("digest")).where(F.col("bytes") >= min_bytes))
     originals = (heads.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("page_id", "url")).alias("first")).where("n > 1")
                  .select("digest", F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_uri")))
     return cut(heads.join(originals, "digest").where(F.coalesce(F.col("page_id") != F.col("refers_to"), F.col("refers_to").isNotNull()))
-               .select("page_id", "refers_to", "refers_uri").distinct())
+               .select("page_id", "digest", "refers_to", "refers_uri").distinct())
 
 
 def _uri(url: str | None, page_id) -> str:
@@ -93,8 +96,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str |
     """Write ``pages`` (page_id, url, html) as deduplicated archives into the new folder ``path``."""
     date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     again = sized(revisits(pages, min_bytes).withColumn("is_revisit", F.lit(True)))
-    left = pages.select("page_id", "url", "html")
-    joined = left.join(again, left["page_id"].eqNullSafe(again["page_id"]), "left").select(
+    left = pages.select("page_id", "url", "html", _digest().alias("own"))
+    joined = left.join(again, left["page_id"].eqNullSafe(again["page_id"]) & (left["own"] == again["digest"]), "left").select(
         left["page_id"], "url", "html", "refers_to", "refers_uri", "is_revisit")
     (joined.mapInArrow(_records(date), "value string").write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", RECORDS_A_FILE).text(path))
