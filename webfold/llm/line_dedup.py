@@ -3,7 +3,7 @@
 A line is near another if their word sequences differ by at most one word
 inserted, deleted or replaced, and both have at least ``MIN_WORDS`` words;
 shorter lines match only when equal.  A line goes if an equal or near line
-stands earlier (by doc_id, then text digest, then place); blank lines stay.
+stands earlier (by doc_id, then text hash, then place); blank lines stay.
 
 1. Lines become narrow rows: a 128-bit key of their words and up to four hashes
    of halves.  Equal lines are one row after an aggregation with map-side
@@ -38,28 +38,23 @@ MIN_WORDS = 4
 
 
 def _words(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(r"\S+"), F.lit(0))
+    """Runs of anything but ASCII white space."""
+    odd = line.contains("\t") | line.contains("\r") | line.contains("\x0b") | line.contains("\x0c")
+    return F.array_remove(F.split(F.when(odd, F.translate(line, "\t\r\x0b\x0c", "    ")).otherwise(line), " "), "")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, digest, place, key, words of each line that has words."""
-    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.unhex(F.md5(F.col(text_col))).alias("digest"))
-            .select("doc_id", "digest", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-            .select("doc_id", "digest", "place", _words(F.col("line")).alias("words"))
-            .where(F.size("words") > 0)
-            .withColumn("key", F.unhex(F.md5(F.array_join("words", " ")))))
+    """doc_id, digest (of the text), place and line."""
+    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("digest"))
+            .select("doc_id", "digest", F.posexplode(F.split("text", "\n")).alias("place", "line")))
 
 
-def _halves(words: Column) -> Column:
-    """Hashes of the halves by which this line may meet one of equal, greater or smaller length."""
+def _half(words: Column, shorter: Column, begin: bool) -> Column:
+    """Hash of the first half of ``shorter`` words, or of as many at the end as are left."""
     n = F.size(words)
-    out = []
-    for shorter in (n, n - 1):
-        first = F.floor(shorter / 2).cast("int")
-        rest = (shorter - first).cast("int")
-        out.append(F.xxhash64(F.lit("first"), first, F.slice(words, F.lit(1), first)))
-        out.append(F.xxhash64(F.lit("rest"), rest, F.slice(words, n - rest + 1, rest)))
-    return F.when(n >= MIN_WORDS, F.array_distinct(F.array(*out)))
+    first = F.floor(shorter / 2).cast("int")
+    rest = (shorter - first).cast("int")
+    return F.xxhash64(F.lit("first"), first, F.slice(words, F.lit(1), first)) if begin else F.xxhash64(F.lit("rest"), rest, F.slice(words, n - rest + 1, rest))
 
 
 def _part(word: Column, place: Column, seed: int) -> Column:
@@ -68,22 +63,22 @@ def _part(word: Column, place: Column, seed: int) -> Column:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(key, first, size, gap, h1, h2): each line with one word left out, and whole (gap 0)."""
+    """(line, size, gap, h1, h2): each line with one word left out, and whole (gap 0).  ``lines`` is partitioned by line."""
     at = F.col("at")
-    each = lines.select("key", "first", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
-    before = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    up_to_here = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("key")
+    each = lines.select("line", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+    whole = Window.partitionBy("line")
+    up_to_here = whole.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    kept, shifted = {}, {}
     for s in (1, 2):
-        each = each.withColumn(f"g{s}", _part(F.col("word"), at, s)).withColumn(f"s{s}", _part(F.col("word"), at - 1, s))
-    shifted = {s: F.sum(f"s{s}").over(whole) - F.sum(f"s{s}").over(up_to_here) for s in (1, 2)}
-    hashed = each.select(
-        "key", "first", "n", "at",
-        *[(F.coalesce(F.sum(f"g{s}").over(before), F.lit(0)) + shifted[s]).alias(f"h{s}") for s in (1, 2)],
-        *[F.sum(f"g{s}").over(whole).alias(f"w{s}") for s in (1, 2)])
-    gone = hashed.select("key", "first", (F.col("n") - 1).alias("size"), (at + 1).alias("gap"), "h1", "h2")
-    kept = hashed.where("at = 0").select("key", "first", F.col("n").alias("size"), F.lit(0).alias("gap"), F.col("w1").alias("h1"), F.col("w2").alias("h2"))
-    return gone.unionByName(kept)
+        here, left = _part(F.col("word"), at, s), _part(F.col("word"), at - 1, s)
+        each = each.withColumn(f"g{s}", here).withColumn(f"s{s}", left)
+        kept[s] = F.sum(f"g{s}").over(up_to_here)
+        shifted[s] = F.sum(f"s{s}").over(whole) - F.sum(f"s{s}").over(up_to_here)
+    sums = each.select("line", "n", "at", *[(kept[s] - F.col(f"g{s}") + shifted[s]).alias(f"h{s}") for s in (1, 2)], *[kept[s].alias(f"w{s}") for s in (1, 2)])
+    gone = F.struct((F.col("n") - 1).alias("size"), (at + 1).alias("gap"), F.col("h1"), F.col("h2"))
+    itself = F.struct(F.col("n").alias("size"), F.lit(0).alias("gap"), F.col("w1").alias("h1"), F.col("w2").alias("h2"))
+    return (sums.select("line", F.explode(F.when(at == F.col("n") - 1, F.array(gone, itself)).otherwise(F.array(gone))).alias("v"))
+            .select("line", "v.*"))
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -98,48 +93,57 @@ def _within_one(a: Column, b: Column) -> Column:
 
 
 def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(lines, firsts): every line's place and key; and each distinct key with its first place and whether it goes."""
-    lines = cut(_lines(docs, id_col, text_col).select("doc_id", "digest", "place", "key", _halves(F.col("words")).alias("halves")))
-    firsts = cut(lines.groupBy("key").agg(F.min(F.struct("doc_id", "digest", "place")).alias("first"), F.first("halves").alias("halves")))
-
-    halves = firsts.select("key", F.explode("halves").alias("half"))
+    """(lines, repeated): every line's place and key; and each key that more than one line has or that goes as near, with its first place."""
+    words = F.col("words")
+    n = F.size(words)
+    parts = {"a": _half(words, n, True), "b": _half(words, n, False), "c": _half(words, n - 1, True), "d": _half(words, n - 1, False)}
+    lines = cut(_lines(docs, id_col, text_col).withColumn("words", _words(F.col("line"))).where(n > 0)
+                .select("doc_id", "digest", "place", F.unhex(F.md5(F.array_join("words", " "))).alias("key"),
+                        *[F.when(n >= MIN_WORDS, x).alias(c) for c, x in parts.items()]))
+    firsts = cut(lines.groupBy("key", *parts).agg(F.min(F.struct("doc_id", "digest", "place")).alias("first"), F.count("*").alias("lines")))
+
+    # lines that share half their words with another; numbered in the order of their first places
+    halves = firsts.where("a IS NOT NULL").select("key", F.explode(F.array_distinct(F.array(*parts))).alias("half"))
     met = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    may = cut(firsts.select("key", "first").join(halves.join(met, "half", "left_semi").select("key").distinct(), "key", "left_semi"))
-    side = sized(may)
-    words = cut(_lines(docs, id_col, text_col).select("key", "words").join(side, "key").dropDuplicates(["key"]))
-
-    variants = _variants(words)
-    earliest = F.min(F.struct("first", "key"))
+    may = cut(firsts.select("key", "first").join(halves.join(sized(cut(met)), "half", "left_semi").select("key").distinct(), "key", "left_semi")
+              .orderBy("first").withColumn("line", F.monotonically_increasing_id()))
+    places = sized(may.select("line", "first.*"))
+    found = _lines(docs, id_col, text_col).withColumnRenamed("line", "source")
+    same = [found[c].eqNullSafe(places[c]) for c in ("doc_id", "digest", "place")]
+    wordlists = cut(found.join(places, same[0] & same[1] & same[2]).select(places["line"], _words(F.col("source")).alias("words")).dropDuplicates(["line"]))
+
+    variants = cut(_variants(wordlists.repartition("line")))
     group = ["size", "h1", "h2"]
     # one word replaced: the same gap
-    replaced = variants.where("gap > 0").groupBy(*group, "gap").agg(earliest.alias("low"), F.count("*").alias("n")).where("n > 1").select(*group, "gap", "low")
-    found = variants.join(replaced, [*group, "gap"]).select("key", "first", "low")
-    # one word more: a whole line and a variant of another
-    wholes = variants.where("gap = 0").select(*group, "key", "first")
-    longer = (variants.where("gap > 0").join(wholes.select(*group, F.struct("first", "key").alias("low")), group)
-              .select("key", "first", "low").where(F.col("low.first") < F.col("first")))
-    shorter = (variants.where("gap > 0").groupBy(*group).agg(earliest.alias("low")).join(wholes, group).select("key", "first", "low"))
-    pairs = (found.unionByName(longer).unionByName(shorter).where(F.col("low.first") < F.col("first"))
-             .select("key", F.col("low.key").alias("other")).distinct())
-    goes = (pairs.join(words.select("key", F.col("words").alias("a")), "key").join(words.select(F.col("key").alias("other"), F.col("words").alias("b")), "other")
-            .where(_within_one(F.col("a"), F.col("b"))).select("key").distinct())
-    return lines, firsts.select("key", "first").join(goes.withColumn("near", F.lit(True)), "key", "left").select("key", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    replaced = (variants.where("gap > 0").groupBy(*group, "gap").agg(F.min("line").alias("other"), F.count("*").alias("n")).where("n > 1")
+                .select(*group, "gap", "other"))
+    pairs = variants.join(sized(cut(replaced)), [*group, "gap"]).select("line", "other")
+    # one word more: a whole line, and a variant of another
+    whole = sized(variants.where("gap = 0").select(*group, F.col("line").alias("whole")))
+    longer = cut(variants.where("gap > 0").join(whole, group).select("line", "whole"))
+    pairs = (pairs.unionByName(longer.select("line", F.col("whole").alias("other")))
+             .unionByName(longer.groupBy("whole").agg(F.min("line").alias("other")).select(F.col("whole").alias("line"), "other"))
+             .where("other < line").distinct())
+    near = (pairs.join(wordlists.select("line", F.col("words").alias("x")), "line").join(wordlists.select(F.col("line").alias("other"), F.col("words").alias("y")), "other")
+            .where(_within_one(F.col("x"), F.col("y"))).select("line").distinct())
+    goes = cut(may.join(near, "line", "left_semi").select("key", F.lit(True).alias("near")))
+    repeated = (firsts.select("key", "first", "lines").join(sized(goes), "key", "left").where("lines > 1 OR near")
+                .select("key", "first", F.coalesce("near", F.lit(False)).alias("near")))
+    return lines.select("doc_id", "digest", "place", "key"), sized(cut(repeated))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per input row: doc_id, n_lines (with words), n_kept, text without the lines that go."""
-    lines, firsts = near_lines(docs, id_col, text_col)
+    lines, repeated = near_lines(docs, id_col, text_col)
     here = F.struct("doc_id", "digest", "place")
-    gone = (lines.join(firsts, "key").where(F.col("near") | ~here.eqNullSafe(F.col("first")))
-            .groupBy("doc_id", "digest").agg(F.array_distinct(F.collect_list("place")).alias("gone"))
+    gone = (lines.join(repeated, "key").where(F.col("near") | ~here.eqNullSafe(F.col("first")))
+            .groupBy("doc_id", "digest").agg(F.collect_set("place").alias("gone"))
             .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "gone"))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.unhex(F.md5(F.col(text_col))).alias("digest"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("digest"))
     joined = texts.join(gone, texts["doc_id"].eqNullSafe(gone["_id"]) & (texts["digest"] == gone["_digest"]), "left")
     every = F.split("text", "\n")
-    kept = F.filter(F.transform(every, lambda x, i: F.struct(x.alias("line"), i.alias("place"))),
-                    lambda s: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), s["place"]))
-    n_lines = F.coalesce(F.size(F.filter(every, lambda x: x.rlike(r"\S"))), F.lit(0))
+    kept = F.filter(F.transform(every, lambda x, i: F.struct(x.alias("line"), i.alias("place"))), lambda s: ~F.array_contains("gone", s["place"]))
+    n_lines = F.coalesce(F.size(F.filter(every, lambda x: x.rlike("[^ \t\r\x0b\x0c]"))), F.lit(0))
     return joined.select(
-        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("bigint").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(n_lines - F.coalesce(F.size("gone"), F.lit(0))).cast("bigint").alias("n_kept"),
-        F.array_join(F.transform(kept, lambda s: s["line"]), "\n").alias("text"))
+        "doc_id", n_lines.cast("bigint").alias("n_lines"), (n_lines - F.coalesce(F.size("gone"), F.lit(0))).cast("bigint").alias("n_kept"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda s: s["line"]), "\n")).alias("text"))
