@@ -8,6 +8,9 @@ Helpers that use their input more than once expect a plain column reference.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,12 +25,12 @@ TRIM_WS = f"^[{WS}]+|[{WS}]+\\z"
 
 # Elements whose content is never text.
 PRECLEAN = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?</script\s*>"
-    r"|<style\b[^>]*>.*?</style\s*>"
-    r"|<noscript\b[^>]*>.*?</noscript\s*>"
-    r"|<iframe\b[^>]*>.*?</iframe\s*>"
-    r"|<template\b[^>]*>.*?</template\s*>"
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|<noscript\b[^>]*>.*?(?:</noscript\s*>|\z)"
+    r"|<iframe\b[^>]*>.*?(?:</iframe\s*>|\z)"
+    r"|<template\b[^>]*>.*?(?:</template\s*>|\z)"
 )
 # Page chrome removed from the main container.
 BOILERPLATE_BLOCKS = (
@@ -36,8 +39,9 @@ BOILERPLATE_BLOCKS = (
     r"|<aside\b[^>]*>.*?</aside\s*>"
     r"|<form\b[^>]*>.*?</form\s*>"
 )
-ARTICLE_ELEM = r"(?is)(<article\b[^>]*>.*?</article\s*>)"
-MAIN_ELEM = r"(?is)(<main\b[^>]*>.*?</main\s*>)"
+# from the first opening to the last closing tag: nested and sibling ones lose nothing
+ARTICLE_ELEM = r"(?is)(<article\b[^>]*>.*</article\s*>)"
+MAIN_ELEM = r"(?is)(<main\b[^>]*>.*</main\s*>)"
 BODY_INNER = r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"
 OUTER_TAGS = r"(?is)^<[a-z]+\b[^>]*>|</[a-z]+\s*>\z"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
@@ -67,69 +71,45 @@ BYLINE_ELEM = (
 )
 QUOTES = r"""^["']|["']\z"""
 
-# --- Fixed values: named character references decoded in text (HTML names
-# and the characters they stand for).  '&amp;' is decoded last.
-NAMED_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&middot;", "·"), ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&bull;", "•"), ("&deg;", "°"),
-    ("&times;", "×"), ("&euro;", "€"), ("&pound;", "£"), ("&sect;", "§"),
-]
-AMP_PLACEHOLDER = "\ue000"
-NUM_DEC = r"^([0-9]{1,7});"
-NUM_HEX = r"^[xX]([0-9A-Fa-f]{1,6});"
+#: Named character references that end in ';', from the standard library's table of HTML names.
+ENTITY_NAMES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+REFERENCE = r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 
 # ------------------------------------------------------------------ helpers
 
 
 def _codepoint_to_str(n: Column) -> Column:
-    """Character for a code point; NUL, surrogates and > U+10FFFF give U+FFFD;
-    '&' gives a placeholder so it is not decoded twice."""
-    bad = (n <= 0) | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF))
+    """Character for a code point; NUL, surrogates, > U+10FFFF and null (too many digits) give U+FFFD."""
+    bad = n.isNull() | (n <= 0) | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF))
     ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "utf-32")
-    return F.when(n == 38, F.lit(AMP_PLACEHOLDER)).when(bad, F.lit("\ufffd")).otherwise(ch)
-
-
-def decode_numeric_entities(s: Column) -> Column:
-    """``&#NNN;`` and ``&#xHH;`` to characters (only scans text containing '&#')."""
-    parts = F.split(s, "&#", -1)
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
-
-    def one(x: Column) -> Column:
-        dec = F.regexp_extract(x, NUM_DEC, 1)
-        hx = F.regexp_extract(x, NUM_HEX, 1)
-        return (
-            F.when(dec != "", F.concat(_codepoint_to_str(dec.cast("long")), F.regexp_replace(x, NUM_DEC, "")))
-            .when(hx != "", F.concat(_codepoint_to_str(F.conv(hx, 16, 10).cast("long")), F.regexp_replace(x, NUM_HEX, "")))
-            .otherwise(F.concat(F.lit("&#"), x))
-        )
+    return F.when(bad, F.lit("\ufffd")).otherwise(ch)
 
-    decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(rest, one), ""))
-    return F.when(s.contains("&#"), decoded).otherwise(s)
 
+def decode_entities(s: Column) -> Column:
+    """Named, decimal and hexadecimal character references, each decoded once.
 
-def decode_named_entities(s: Column) -> Column:
-    """First half of entity decoding: the names in :data:`NAMED_ENTITIES`."""
-    out = s
-    for ent, ch in NAMED_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    A text is split at '&' and every piece looks up the reference it begins
+    with, so nothing is decoded twice; what is no reference stays as written.
+    The argument is used once.
+    """
+    names = F.from_json(F.lit(json.dumps(ENTITY_NAMES)), "map<string,string>")
+    parts = F.split(s, "&", -1)
 
+    def one(x: Column) -> Column:
+        name = F.regexp_extract(x, REFERENCE, 1)
+        digits = F.regexp_replace(name, r"^#[xX]?0*", "")
+        number = F.when(F.length(digits) <= 7, F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long"))
+        value = (F.when(name == "", F.lit(None).cast("string")).when(name == "amp", F.lit("&"))
+                 .when(name.startswith("#"), _codepoint_to_str(F.when(digits == "", F.lit(0)).otherwise(number))).otherwise(F.try_element_at(names, name)))
+        return F.when(value.isNull(), F.concat(F.lit("&"), x)).otherwise(F.concat(value, F.substr(x, F.length(name) + 2)))
 
-def finish_entities(s: Column) -> Column:
-    """Second half: numeric references, then ``&amp;``.  Expects a column
-    reference (the input is used more than once)."""
-    out = F.replace(decode_numeric_entities(s), F.lit("&amp;"), F.lit("&"))
-    return F.replace(out, F.lit(AMP_PLACEHOLDER), F.lit("&"))
+    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
+    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(rest, one), ""))
 
 
-def decode_entities(s: Column) -> Column:
-    """Named references, numeric references, then ``&amp;`` — one pass in
-    effect (no double decoding).  For short strings; large text goes through
-    the two halves with a projection in between."""
-    return finish_entities(decode_named_entities(s))
+def decode_text(s: Column) -> Column:
+    """:func:`decode_entities` of a column reference; long text without '&' is left alone."""
+    return F.when(s.contains("&"), decode_entities(s)).otherwise(s)
 
 
 def collapse_ws(s: Column) -> Column:

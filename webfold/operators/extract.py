@@ -10,8 +10,8 @@ text, word count, excerpt, metadata):
 
 1. pre-clean: drop comments, ``script``, ``style``, ``noscript``, ``iframe``,
    ``template`` (E4);
-2. container: first ``<article>``, else first ``<main>``, else ``<body>``,
-   else the whole document; remove ``nav``/``footer``/``aside``/``form``;
+2. container: from the first ``<article>`` to the last ``</article>``, else the
+   same for ``<main>``, else ``<body>``, else the whole document; remove ``nav``/``footer``/``aside``/``form``;
 3. text: block tags → line breaks, other tags dropped, entities decoded,
    whitespace tidied; word count = Unicode-whitespace fields;
 4. title: ``<title>``, else the first ``<h1>`` of the container; excerpt:
@@ -89,7 +89,7 @@ def extract_articles(pages: DataFrame, url_col: str = "url", html_col: str = "ht
     df = df.drop("_clean", "_head", "_headc", "_art", "_main")
     ch = F.col("content_html")
     cols = {
-        "_t1": T.decode_named_entities(T.html_to_text_markup(ch)),
+        "_t1": T.html_to_text_markup(ch),
         "_h1": F.regexp_extract(ch, T.H1, 1),
         "_p1": F.regexp_extract(ch, T.FIRST_P, 1),
     }
@@ -98,7 +98,7 @@ def extract_articles(pages: DataFrame, url_col: str = "url", html_col: str = "ht
     df = df.withColumn("_title", title)
     canon_href = _attr_value(F.col("_canon_tag"), T.HREF_ATTR)
     cols = {
-        "text_content": T.tidy_text(T.finish_entities(F.col("_t1"))),
+        "text_content": T.tidy_text(T.decode_text(F.col("_t1"))),
         "title": F.when(F.col("_title") != "", F.col("_title")).otherwise(T.inline_text(F.col("_h1"))),
         "excerpt": T.inline_text(F.col("_p1")),
         "byline": F.when(

@@ -2,9 +2,8 @@
 
 ``page_links`` is a narrow map + ``posexplode`` (no shuffle).  Scoping to a
 crawl job (J1) is an equi-join on ``(job_id, host)`` against the job's
-allowed hosts; that side is one or two rows per job, broadcast only behind a
-row-count check (:func:`webfold.plans.joins.broadcast_if_small`), otherwise a
-shuffle join that AQE may still turn into a broadcast at run time.
+allowed hosts (:mod:`webfold.operators.frontier`); AQE chooses a broadcast at run time
+where that side is small.
 """
 
 from __future__ import annotations
@@ -60,15 +59,6 @@ def link_flags(links: DataFrame, url: str = "dst_url", src: str = "src_url") ->
     return df.drop(*url_part_columns("_d"), *url_part_columns("_s"), "_allowed_hosts")
 
 
-def scoped_links(links: DataFrame, job_hosts: DataFrame, job_of_src: DataFrame | None = None) -> DataFrame:
-    """Links whose target host is allowed for the job, as a semi-join on
-    ``(job_id, dst_host)``.  ``links`` must carry ``job_id`` and ``dst_host``;
-    ``job_hosts`` is ``(job_id, host)``."""
-    from webfold.plans.joins import broadcast_if_small
-    hosts = broadcast_if_small(job_hosts.select("job_id", F.col("host").alias("dst_host")).distinct())
-    return links.join(hosts, ["job_id", "dst_host"], "left_semi")
-
-
 def link_graph_summary(flagged: DataFrame) -> DataFrame:
     """Per source host: links, distinct targets, in-scope and blacklisted share
     (partial aggregation; ``count_distinct`` is exact)."""

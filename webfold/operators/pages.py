@@ -29,8 +29,8 @@ def _ts(v) -> Column:
 
 def to_markdown(df: DataFrame, html: str = "content_html", out: str = "markdown") -> DataFrame:
     """E2 + U11: Markdown of the article container, normalised."""
-    df = df.withColumn("_md1", T.decode_named_entities(markdown_markup(F.col(html))))
-    df = df.withColumn(out, T.normalize_markdown(markdown_spacing(T.finish_entities(F.col("_md1")))))
+    df = df.withColumn("_md1", markdown_markup(F.col(html)))
+    df = df.withColumn(out, T.normalize_markdown(markdown_spacing(T.decode_text(F.col("_md1")))))
     return df.drop("_md1")
 
 
@@ -152,8 +152,3 @@ def content_dedup(df: DataFrame, hash_col: str = "content_hash", key: str = "pag
                .agg(F.min_by(F.col(key), F.struct(F.col("_pref"), F.col(key))).alias(key)))
     return df.join(winners.select(key), on=key, how="left_semi")
 
-
-def full_markdown(fm: Column, md: Column) -> Column:
-    """Front matter + blank line + Markdown + trailing newline."""
-    return F.concat(fm, F.lit("\n"), md, F.lit("\n"))
-

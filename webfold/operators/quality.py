@@ -73,7 +73,7 @@ def page_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
     position; script/style/comments removed first."""
     from webfold.operators.extract import preclean_html
     df = pages.select(key, "url", T.html_to_text_markup(preclean_html(F.col("html"))).alias("_m"))
-    df = df.withColumn("_t", T.tidy_text(T.decode_entities(F.col("_m")))).drop("_m")
+    df = df.withColumn("_t", T.tidy_text(T.decode_text(F.col("_m")))).drop("_m")
     df = parse_urls(df, "url", "_b").withColumn("host", F.col("_b_host")).drop(*url_part_columns("_b"))
     df = df.select(key, "host", F.posexplode(F.split("_t", "\n", -1)).alias("position", "block"))
     return df.filter(F.col("block") != "").withColumn("block_hash", F.sha2("block", 256))
@@ -81,26 +81,43 @@ def page_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def template_blocks(pages: DataFrame, key: str = "page_id", min_share_pct: int = 50, min_pages: int = 2) -> DataFrame:
     """Blocks repeated on at least ``min_share_pct`` % (and ``min_pages``)
-    of a host's pages: (host, block_hash, n_pages, host_pages)."""
-    blocks = page_blocks(pages, key)
-    per_block = blocks.groupBy("host", "block_hash").agg(F.count_distinct(key).alias("n_pages"))
-    per_host = blocks.groupBy("host").agg(F.count_distinct(key).alias("host_pages"))
+    of a host's pages: (host, block_hash, n_pages, host_pages).
+
+    The narrow (page, host, block hash) rows are made in one scan of the HTML
+    and written once; both counts read them."""
+    blocks = page_blocks(pages, key).select(key, "host", "block_hash").distinct().checkpoint()
+    per_block = blocks.groupBy("host", "block_hash").agg(F.count("*").alias("n_pages")).filter(F.col("n_pages") >= min_pages)
+    per_host = blocks.select(key, "host").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     t = per_block.join(per_host, "host")
-    return t.filter((F.col("n_pages") >= min_pages) & (F.col("n_pages") * 100 >= F.col("host_pages") * min_share_pct))
+    return t.filter(F.col("n_pages") * 100 >= F.col("host_pages") * min_share_pct)
+
+
+def without_template_blocks(pages: DataFrame, key: str = "page_id", **limits) -> DataFrame:
+    """A8, second half: (``key``, text) of each page without its host's template blocks."""
+    templates = template_blocks(pages, key, **limits).select("host", "block_hash")
+    left = page_blocks(pages, key).join(templates, ["host", "block_hash"], "left_anti")
+    text = left.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("position", "block"))).alias("b"))
+    return text.select(key, F.array_join(F.col("b.block"), "\n").alias("text"))
 
 
-def quality_scores(extracted: DataFrame, signals: DataFrame, key: str = "page_id", min_words: int = 250) -> DataFrame:
-    """A10: weighted sum of F4, F6, F13, F14, F15 per page (integer score)."""
+def quality_scores(pages: DataFrame, key: str = "page_id", min_words: int = 250) -> DataFrame:
+    """A10: weighted sum of F4, F6, F13, F14, F15 per page (integer score).
+
+    One narrow map over the pages: all signals are columns of the same row."""
     from webfold.functions.urls import is_article_path
-    ld = link_density(extracted, key).select(key, "link_density_ok")
-    bp = boilerplate_ratio(extracted, key).select(key, "boilerplate_ok")
-    base = parse_urls(extracted.select(key, "norm_url", "word_count"), "norm_url", "_s")
-    base = base.select(key, "norm_url", F.col("_s_host").alias("host"), "word_count",
-                       F.coalesce(F.col("_s_ok") & is_article_path(F.col("_s_path")), F.lit(False)).alias("likely_article"))
-    df = base.join(signals.select(key, "signal_score"), key).join(ld, key).join(bp, key)
-    score = (F.col("likely_article").cast("int") * 2 + (F.col("word_count") >= min_words).cast("int") * 3
-             + F.col("signal_score") + F.col("link_density_ok").cast("int") + F.col("boilerplate_ok").cast("int"))
-    return df.withColumn("quality_score", score.cast("int"))
+    from webfold.operators.extract import extract_articles
+    signals = sum(F.coalesce(F.col("html").rlike(rx), F.lit(False)).cast("int") for rx in SIGNALS.values())
+    ex = extract_articles(pages.select(key, "url", "html", signals.alias("signal_score")), keep=(key, "signal_score"))
+    links = F.regexp_extract_all(F.col("content_html"), F.lit(LINK_TEXT), 1)
+    df = ex.select(key, "norm_url", "word_count", "signal_score", F.array_join(links, " ").alias("_lt"),
+                   F.length("text_content").cast("long").alias("_chars"),
+                   F.coalesce(F.regexp_count(F.lower("text_content"), F.lit(BOILERPLATE_RX)), F.lit(0)).cast("long").alias("_hits"))
+    df = df.withColumn("_link_chars", F.length(T.inline_text(F.col("_lt"))).cast("long")).drop("_lt")
+    df = parse_urls(df, "norm_url", "_s")
+    article = F.coalesce(F.col("_s_ok") & is_article_path(F.col("_s_path")), F.lit(False))
+    score = (article.cast("int") * 2 + (F.col("word_count") >= min_words).cast("int") * 3 + F.col("signal_score")
+             + (F.col("_link_chars") * 100 <= F.col("_chars") * 50).cast("int") + (F.col("_hits") * 100 <= F.col("word_count") * 2).cast("int"))
+    return df.select(key, "norm_url", F.col("_s_host").alias("host"), score.cast("int").alias("quality_score"))
 
 
 def top_quality_pages(scores: DataFrame, k: int = 10, key: str = "page_id") -> DataFrame:
@@ -113,7 +130,9 @@ def canonical_identity(extracted: DataFrame, key: str = "page_id") -> DataFrame:
     """Identity URL = canonical URL when the page declares one, else its
     own normalised URL; ``n_aliases`` = pages sharing that identity."""
     ident = F.when(F.col("canonical_url") != "", F.col("canonical_url")).otherwise(F.col("norm_url"))
-    df = extracted.filter(F.col("norm_url").isNotNull()).select(key, "norm_url", ident.alias("identity_url"))
+    # written once: the count and the join read three short columns, and the
+    # join key's lineage ends here instead of in the extraction
+    df = extracted.filter(F.col("norm_url").isNotNull()).select(key, "norm_url", ident.alias("identity_url")).checkpoint()
     counts = df.groupBy("identity_url").agg(F.count("*").alias("n_aliases"))
     return df.join(counts, "identity_url", "left")
 

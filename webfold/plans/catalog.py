@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from webfold.functions import text as T
 from webfold.functions.urls import (allowed_domains, domain_of_host, normalize_urls, parse_urls,
-                                    relative_paths, url_part_columns)
+                                    relative_paths)
 from webfold.operators import extract as E
 from webfold.operators import links as L
 from webfold.operators import pages as P
@@ -329,8 +329,6 @@ register("link_graph", _flags_chain().sql(
     "FROM {prev} GROUP BY _s_host"))(
     lambda spark, d: L.link_graph_summary(q_link_flags(spark, d)))
 
-_ = url_part_columns
-
 
 # ------------------------------------------------------------------ jobs, sitemaps, frontier
 
@@ -543,11 +541,22 @@ register("template_blocks", _blocks_chain().sql(
     lambda spark, d: QA.template_blocks(_pages(spark, d)).select("host", "block_hash", "n_pages", "host_pages"))
 
 
-def q_quality(spark, d):
-    return QA.quality_scores(_extracted(spark, d), QA.html_signals(_pages(spark, d)))
-
-
-register("top_quality_pages")(lambda spark, d: QA.top_quality_pages(q_quality(spark, d)).select(
+def _top_quality_sql() -> str:
+    total = " + ".join(f"CAST(coalesce({O.rx_like('html', rx)}, false) AS INTEGER)" for rx in QA.SIGNALS.values())
+    c = O.extract_chain(f"SELECT page_id, url, html, {total} AS signal_score FROM pages", keep=("page_id", "signal_score"))
+    c.add({"_lt": f"array_to_string(regexp_extract_all(content_html, {O.q(QA.LINK_TEXT)}, 1), ' ')"})
+    c.add({"_hits": f"len(regexp_extract_all(lower(text_content), {O.q(QA.BOILERPLATE_RX)}))", "_link_chars": f"length({O.inline_text('_lt')})",
+           "_chars": "length(text_content)"})
+    c.step("SELECT page_id, norm_url, word_count, signal_score, _hits, _link_chars, _chars FROM {prev}")
+    O.parse_url_cols(c, "norm_url", "_s")
+    c.add({"quality_score": f"CAST(CASE WHEN coalesce(_s_ok AND {O.is_article('_s_path')}, false) THEN 2 ELSE 0 END "
+                            "+ CASE WHEN word_count >= 250 THEN 3 ELSE 0 END + signal_score + CASE WHEN _link_chars * 100 <= _chars * 50 THEN 1 ELSE 0 END "
+                            "+ CASE WHEN _hits * 100 <= word_count * 2 THEN 1 ELSE 0 END AS INTEGER)"})
+    return c.sql("SELECT _s_host AS host, CAST(row_number() OVER (PARTITION BY _s_host ORDER BY quality_score DESC, norm_url, page_id) AS INTEGER) AS host_rank, "
+                 "page_id, norm_url, quality_score FROM {prev} QUALIFY host_rank <= 10")
+
+
+register("top_quality_pages", _top_quality_sql())(lambda spark, d: QA.top_quality_pages(QA.quality_scores(_pages(spark, d))).select(
     "host", "host_rank", "page_id", "norm_url", "quality_score"))
 
 register("canonical_identity", _extract_sql(

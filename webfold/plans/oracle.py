@@ -223,34 +223,24 @@ def is_article(path: str) -> str:
 
 # ------------------------------------------------------------------ text pieces
 
-def decode_named(e: str) -> str:
-    out = e
-    for ent, ch in T.NAMED_ENTITIES:
-        out = f"replace({out}, {q(ent)}, {q(ch)})"
-    return out
-
-
 def _cp(n: str) -> str:
-    return (f"CASE WHEN {n} = 38 THEN {q(T.AMP_PLACEHOLDER)} WHEN {n} <= 0 OR {n} > 1114111 OR "
-            f"({n} >= 55296 AND {n} <= 57343) THEN {q(chr(0xFFFD))} ELSE chr({n}::INTEGER) END")
-
-
-def finish_entities(e: str) -> str:
-    parts = f"string_split({e}, '&#')"
-    dec_n = rx_extract("x", T.NUM_DEC, 1) + "::BIGINT"
-    hex_n = "('0x' || " + rx_extract("x", T.NUM_HEX, 1) + ")::BIGINT"
-    one = (f"lambda x: CASE WHEN {rx_extract('x', T.NUM_DEC, 1)} <> '' THEN "
-           f"{_cp(dec_n)} || {rx_replace('x', T.NUM_DEC, '')} "
-           f"WHEN {rx_extract('x', T.NUM_HEX, 1)} <> '' THEN "
-           f"{_cp(hex_n)} || {rx_replace('x', T.NUM_HEX, '')} "
-           f"ELSE '&#' || x END")
-    decoded = f"{parts}[1] || array_to_string(list_transform({parts}[2:], {one}), '')"
-    num = f"CASE WHEN contains({e}, '&#') THEN {decoded} ELSE {e} END"
-    return f"replace(replace({num}, '&amp;', '&'), {q(T.AMP_PLACEHOLDER)}, '&')"
+    return (f"CASE WHEN {n} IS NULL OR {n} <= 0 OR {n} > 1114111 OR ({n} >= 55296 AND {n} <= 57343) "
+            f"THEN {q(chr(0xFFFD))} ELSE chr({n}::INTEGER) END")
 
 
 def decode_entities(e: str) -> str:
-    return finish_entities(decode_named(e))
+    """Split at '&'; each piece begins with a reference or stays as it is."""
+    names = "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in T.ENTITY_NAMES.items()) + "}"
+    name = rx_extract("x", T.REFERENCE, 1)
+    digits = rx_replace(name, "^#[xX]?0*", "")
+    number = (f"(CASE WHEN {digits} = '' THEN 0 WHEN length({digits}) > 7 THEN NULL WHEN regexp_matches({name}, '^#[xX]') "
+              f"THEN TRY_CAST('0x' || {digits} AS BIGINT) ELSE TRY_CAST({digits} AS BIGINT) END)")
+    value = (f"(CASE WHEN {name} = '' THEN NULL WHEN starts_with({name}, '#') THEN {_cp(number)} "
+             f"ELSE (SELECT {names})[{name}] END)")
+    value = value.replace(f"(SELECT {names})", f"({names})")
+    one = f"(CASE WHEN {value} IS NULL THEN '&' || x ELSE {value} || substr(x, length({name}) + 2) END)"
+    parts = f"string_split({e}, '&')"
+    return f"({parts}[1] || array_to_string([{one} for x in {parts}[2:]], ''))"
 
 
 def collapse_ws(e: str) -> str:
@@ -326,9 +316,9 @@ def extract_chain(source_sql: str, keep=("page_id",)) -> Chain:
                  f"ELSE _clean END")
     c.add({"content_html": rx_replace(container, T.BOILERPLATE_BLOCKS, "")})
     markup = rx_replace(rx_replace("content_html", T.BLOCK_TAGS, "\n"), T.ANY_TAG, "")
-    c.add({"_t1": decode_named(markup), "_h1": rx_extract("content_html", T.H1, 1),
+    c.add({"_t1": markup, "_h1": rx_extract("content_html", T.H1, 1),
            "_p1": rx_extract("content_html", T.FIRST_P, 1), "_title": inline_text("_title_raw")})
-    tidy = rx_replace(rx_replace(rx_replace(finish_entities("_t1"), T.HSPACE_RUN, " "), T.NL_RUN, "\n"), T.TRIM_WS, "")
+    tidy = rx_replace(rx_replace(rx_replace(decode_entities("_t1"), T.HSPACE_RUN, " "), T.NL_RUN, "\n"), T.TRIM_WS, "")
     c.add({
         "text_content": tidy,
         "title": f"CASE WHEN _title <> '' THEN _title ELSE {inline_text('_h1')} END",
@@ -345,10 +335,10 @@ def extract_chain(source_sql: str, keep=("page_id",)) -> Chain:
 
 
 def markdown_expr(e: str) -> str:
-    md1 = decode_named(markdown_markup(e))
+    md1 = markdown_markup(e)
     return md1
 
 
 def markdown_finish(md1: str) -> str:
-    spaced = rx_replace(rx_replace(finish_entities(md1), MD_HSPACE, " "), MD_LINE_EDGES, "\n")
+    spaced = rx_replace(rx_replace(decode_entities(md1), MD_HSPACE, " "), MD_LINE_EDGES, "\n")
     return normalize_markdown(spaced)
