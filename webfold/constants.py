@@ -55,9 +55,8 @@ DEFAULT_DISCOVERY_MODE = "both"
 DEFAULT_MIN_WORD_COUNT = 250
 DISCOVERY_MODES = ["sitemap", "links", "both"]
 
-# --- Fixed values: sitemap locations tried in order, and the body read cap.
+# --- Fixed values: sitemap locations tried in order.
 SITEMAP_PATHS = ["/sitemap.xml", "/sitemap_index.xml"]
-SITEMAP_MAX_BYTES = 10 * 1024 * 1024
 
 # --- Fixed values: content types accepted as HTML (substring, lowercased).
 HTML_CONTENT_TYPES = ["text/html", "application/xhtml+xml"]

@@ -155,18 +155,15 @@ def remove_dot_segments(full: Column) -> Column:
     return F.when(full == "", F.lit("")).otherwise(out)
 
 
-def clean_join(prefix: Column, rel: Column) -> Column:
-    """``filepath.Join(prefix..., rel)``: drop '' and '.', fold '..'
-    (kept when nothing is left to pop)."""
+def clean_join(prefix: Column, rel: Column, floor: int) -> Column:
+    """Join path segments under ``prefix``: drop '' and '.', fold '..' but never
+    above the first ``floor`` segments (a page must not leave its host's folder)."""
     segs = F.concat(prefix, F.split(rel, "/", -1))
     folded = F.aggregate(
         segs,
         F.array().cast("array<string>"),
         lambda acc, s: F.when((s == "") | (s == "."), acc)
-        .when(
-            (s == "..") & (F.size(acc) > 0) & (F.element_at(acc, -1) != ".."),
-            F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-        )
+        .when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(floor))))
         .otherwise(F.concat(acc, F.array(s))),
     )
     return F.array_join(folded, "/")
@@ -296,7 +293,7 @@ def relative_paths(df: DataFrame, norm: str = "norm_url", out: str = "relative_p
     stripped = F.regexp_replace(F.regexp_replace(p0, r"\.html$", ""), r"\.htm$", "")
     df = df.withColumn(f"{p}_clean", F.when(stripped == "", F.lit("index")).otherwise(stripped))
     cl = F.col(f"{p}_clean")
-    base = clean_join(F.array(F.lit("pages"), F.col(f"{p}_host")), cl)
+    base = clean_join(F.array(F.lit("pages"), F.col(f"{p}_host")), cl, floor=2)
     lossy = (F.col(f"{p}_query") != "") | ((o != "") & (cl != o))
     rel = F.when(lossy, F.concat(base, F.lit("--"), short_hash(F.col(norm)), F.lit(".md"))).otherwise(
         F.concat(base, F.lit(".md"))

@@ -39,6 +39,16 @@ def is_html_content_type(ct: Column) -> Column:
     return ct.isNull() | (ct == "") | F.lower(ct).rlike(rx)
 
 
+def capture_gate(pages: DataFrame) -> DataFrame:
+    """F5 and the status rule before any extraction: keep captures with a 2xx or
+    unknown ``status_code`` and an HTML or unknown ``content_type``."""
+    if "status_code" in pages.columns:
+        pages = pages.filter(F.col("status_code").isNull() | F.col("status_code").between(200, 299))
+    if "content_type" in pages.columns:
+        pages = pages.filter(is_html_content_type(F.col("content_type")))
+    return pages
+
+
 def preclean_html(html: Column) -> Column:
     """Remove comments and non-text elements."""
     return F.regexp_replace(F.coalesce(html, F.lit("")), T.PRECLEAN, "")

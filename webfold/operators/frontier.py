@@ -8,7 +8,7 @@ joins (never a per-URL loop):
     cand  = groupBy(job, url).min(ord ++ [position])             (A3, partial agg)
     cand  = cand ▷ scheduled                                     (J2, left_anti)
     new   = first ``remaining`` per job in ord order             (W1, W2)
-    scheduled ∪= new ; checkpoint                                (O4)
+    scheduled ∪= checkpoint(new)                                 (O4)
 
 Ordering (W4): level 1 is the sitemap URLs in document order, then the
 homepage; a URL found at level k+1 gets ``ord = parent ord ++ [link
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webfold.constants import DISCOVERY_MODES
-from webfold.functions.urls import normalize_urls, parse_urls, url_part_columns, is_blacklisted_path
+from webfold.functions.urls import normalize_urls, parse_urls, url_part_columns, is_article_path, is_blacklisted_path
 
 
 def validate_jobs(jobs: DataFrame) -> DataFrame:
@@ -55,17 +55,42 @@ def job_hosts(jobs: DataFrame) -> DataFrame:
         "job_id", F.lower("host").alias("host")).distinct()
 
 
-def allowed_candidates(cand: DataFrame, jobs: DataFrame, url: str = "url") -> DataFrame:
-    """F3 per job: host in the job's allowed set and path not blacklisted
-    (J1 as an equi semi-join on (job_id, host); hosts per job are few)."""
-    df = parse_urls(cand, url, "_a")
+def url_checks(df: DataFrame, url: str) -> DataFrame:
+    """Add ``host`` of column ``url`` and drop rows that do not parse or whose
+    path is blacklisted (F2): done once per URL, before any join."""
+    df = parse_urls(df, url, "_a")
     df = df.filter(F.col("_a_ok") & ~is_blacklisted_path(F.col("_a_path")))
-    df = df.withColumn("_host", F.col("_a_host")).drop(*url_part_columns("_a"))
-    hosts = job_hosts(jobs).withColumnRenamed("host", "_host")
-    return df.join(hosts, ["job_id", "_host"], "left_semi").drop("_host")
+    return df.withColumn("host", F.col("_a_host")).drop(*url_part_columns("_a"))
 
 
-def seeds(jobs: DataFrame, sitemap_urls: DataFrame | None) -> DataFrame:
+def in_job_scope(cand: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The candidate's host is one of the job's allowed hosts (equi
+    semi-join on (job_id, host); hosts per job are few)."""
+    return cand.join(job_hosts(jobs), ["job_id", "host"], "left_semi")
+
+
+def in_subdomain_scope(cand: DataFrame, jobs: DataFrame) -> DataFrame:
+    """the host is an allowed one or below one: the host's suffixes at its
+    dots are exploded and equi-joined."""
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    match = (cand.select("job_id", "host").distinct().withColumn("below", F.explode(suffixes))
+             .join(job_hosts(jobs).select("job_id", F.col("host").alias("below")), ["job_id", "below"], "left_semi")
+             .select("job_id", "host").distinct())
+    return cand.join(match, ["job_id", "host"], "left_semi")
+
+
+def any_host(cand: DataFrame, jobs: DataFrame) -> DataFrame:
+    """No host scope."""
+    return cand
+
+
+def allowed_candidates(cand: DataFrame, jobs: DataFrame, url: str = "url", scope=in_job_scope) -> DataFrame:
+    """F3 per job: host in scope and path not blacklisted."""
+    return scope(url_checks(cand, url), jobs).drop("host")
+
+
+def seeds(jobs: DataFrame, sitemap_urls: DataFrame | None, scope=in_job_scope) -> DataFrame:
     """Level-1 candidates (job_id, url, okey).
 
     Sitemap URLs (mode sitemap|both) are normalised and must pass F3; the
@@ -82,7 +107,7 @@ def seeds(jobs: DataFrame, sitemap_urls: DataFrame | None) -> DataFrame:
     sm_jobs = jobs.filter(F.col("discovery_mode").isin("sitemap", "both")).select("job_id")
     sm = sitemap_urls.join(sm_jobs, "job_id", "left_semi")
     sm = normalize_urls(sm, "loc", "url").filter(F.col("url").isNotNull())
-    sm = allowed_candidates(sm.select("job_id", "url", "ord"), jobs)
+    sm = allowed_candidates(sm.select("job_id", "url", "ord"), jobs, scope=scope)
     sm = sm.select("job_id", "url", F.concat(F.array(F.lit(0).cast("long")), F.col("ord").cast("array<long>")).alias("okey"))
     return sm.unionByName(home)
 
@@ -98,7 +123,7 @@ def _within_budget(cand: DataFrame, budget: DataFrame, max_cap: int | None) -> D
     c = cand.join(budget, "job_id")
     unlimited = c.filter(F.col("remaining") < 0).drop("remaining")
     limited = c.filter(F.col("remaining") >= 0)
-    ranked = limited.withColumn("_rn", F.row_number().over(Window.partitionBy("job_id").orderBy("okey")))
+    ranked = limited.withColumn("_rn", F.row_number().over(Window.partitionBy("job_id").orderBy("okey", "url")))
     cond = F.col("_rn") <= F.col("remaining")
     if max_cap is not None:
         cond = cond & (F.col("_rn") <= F.lit(int(max_cap)))
@@ -106,14 +131,20 @@ def _within_budget(cand: DataFrame, budget: DataFrame, max_cap: int | None) -> D
 
 
 def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
-                   sitemap_urls: DataFrame | None = None, checkpoint: bool = True) -> DataFrame:
+                   sitemap_urls: DataFrame | None = None, checkpoint: bool = True, scope=in_job_scope,
+                   earlier: DataFrame | None = None, article_first: bool = False) -> DataFrame:
     """Every scheduled URL per job: (job_id, url, depth, ord, captured).
 
     ``jobs``: validated jobs (job_id, domain, allowed_domains, max_pages,
     max_depth, discovery_mode); 0 means unlimited for both limits.
     ``links``: (src_url, position, dst_url), normalised.  ``fetched``: (url)
     of captured HTML pages, normalised.  ``ord`` is the discovery order key:
-    the positions on the path from the seed (lexicographic order).
+    the positions on the path from the seed (lexicographic order).  ``scope``
+    (X5) filters candidates (job_id, url, host, ...) given the jobs.  ``earlier``
+    (O5) is the result of an earlier run to resume: its URLs stay scheduled and
+    take budget, and those at the deepest level are expanded again against the
+    pages captured since.  ``article_first`` (F19, W6) ranks URLs that look like
+    articles before the others found at the same level.
     """
     jobs = jobs.select("job_id", "domain", "allowed_domains", "max_pages", "max_depth", "discovery_mode")
     spark = jobs.sparkSession
@@ -123,7 +154,12 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
     caps, finite_max_depth, any_unlimited_depth = stats["cap"], stats["depth"] or 0, bool(stats["unl"])
     fetched = fetched.select("url").distinct()
     limits = jobs.select("job_id", "max_pages", "max_depth")
-    edges = links.select("src_url", "position", "dst_url")
+    # host and blacklist of each target once, before the loop
+    edges = url_checks(links.select("src_url", "position", "dst_url"), "dst_url")
+    if article_first:
+        edges = parse_urls(edges, "dst_url", "_e").withColumn("rank", (~is_article_path(F.col("_e_path"))).cast("long")).drop(*url_part_columns("_e"))
+    else:
+        edges = edges.withColumn("rank", F.lit(0).cast("long"))
     if checkpoint:
         # every level reads these: write them once, keep the loop's plans small
         jobs, fetched, edges = jobs.checkpoint(), fetched.checkpoint(), edges.checkpoint()
@@ -141,25 +177,28 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
     def dedup(c: DataFrame) -> DataFrame:
         return c.groupBy("job_id", "url").agg(F.min("okey").alias("okey"))
 
-    first = dedup(seeds(jobs, sitemap_urls))
-    if checkpoint:
-        first = first.checkpoint()
-    level = _within_budget(first, budget_after(None), caps)
-    level = level.withColumn("depth", F.lit(1))
-    if checkpoint:
-        level = level.checkpoint()
-    scheduled = level
-    depth = 1
+    if earlier is None:
+        first = dedup(seeds(jobs, sitemap_urls, scope))
+        level = _within_budget(first, budget_after(None), caps).withColumn("depth", F.lit(1))
+        if checkpoint:
+            level = level.checkpoint()
+        scheduled = level
+        depth = 1
+    else:
+        scheduled = earlier.select("job_id", "url", F.col("ord").alias("okey"), "depth")
+        if checkpoint:
+            scheduled = scheduled.checkpoint()
+        level = scheduled  # pages captured since may stand at any level; the anti-join drops what is known
+        depth = scheduled.agg(F.max("depth")).first()[0] or 1
     while any_unlimited_depth or depth < finite_max_depth:
         # expand fetched pages of jobs whose depth limit allows another level
         parents = (level.join(fetched, "url", "left_semi")
                    .join(limits, "job_id")
                    .filter((F.col("max_depth") == 0) | (F.col("depth") < F.col("max_depth")))
                    .select("job_id", F.col("url").alias("src_url"), "okey"))
-        cand = parents.join(edges, "src_url").select(
-            "job_id", F.col("dst_url").alias("url"),
-            F.concat("okey", F.array(F.col("position").cast("long"))).alias("okey"))
-        cand = dedup(allowed_candidates(cand, jobs))
+        step = F.array(F.col("rank"), F.col("position").cast("long")) if article_first else F.array(F.col("position").cast("long"))
+        cand = parents.join(edges, "src_url").select("job_id", F.col("dst_url").alias("url"), "host", F.concat("okey", step).alias("okey"))
+        cand = dedup(scope(cand, jobs))
         cand = cand.join(scheduled.select("job_id", "url"), ["job_id", "url"], "left_anti")
         depth += 1
         new = _within_budget(cand, budget_after(scheduled), caps).withColumn("depth", F.lit(depth))
@@ -167,9 +206,7 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
             new = new.checkpoint()
         if new.isEmpty():
             break
-        scheduled = scheduled.unionByName(new)
-        if checkpoint:
-            scheduled = scheduled.checkpoint()
+        scheduled = scheduled.unionByName(new)  # a union of written levels: nothing is written twice
         level = new
     captured = fetched.select("url", F.lit(True).alias("captured"))
     return scheduled.join(captured, "url", "left").select(
@@ -177,9 +214,13 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
         F.coalesce("captured", F.lit(False)).alias("captured"))
 
 
-def crawl_summary(frontier: DataFrame, extracted_ok: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+def crawl_summary(frontier: DataFrame, extracted_ok: DataFrame, errors: DataFrame | None = None, jobs: DataFrame | None = None,
+                  times: DataFrame | None = None) -> DataFrame:
     """Per job — discovered (scheduled), visited (captured HTML),
-    extracted (passed F6 and saved), not_captured (fetch errors) and errors."""
+    extracted (passed F6 and saved), not captured (scheduled without a page),
+    and errors (rows of ``errors`` (job_id, phase): failures are not the same as
+    links never fetched).  With ``jobs`` the domain, with ``times`` (job_id, at)
+    U16's started, finished and duration in seconds."""
     ok = extracted_ok.select("url").distinct().withColumn("_ok", F.lit(1))
     f = frontier.join(ok, "url", "left")
     agg = f.groupBy("job_id").agg(
@@ -190,8 +231,13 @@ def crawl_summary(frontier: DataFrame, extracted_ok: DataFrame, errors: DataFram
         F.max("depth").cast("int").alias("max_depth_reached"),
     )
     if errors is not None:
-        e = errors.groupBy("job_id").agg(F.count("*").alias("errors"))
-        agg = agg.join(e, "job_id", "left").withColumn("errors", F.coalesce("errors", F.lit(0)).cast("long"))
+        agg = agg.join(errors.groupBy("job_id").agg(F.count("*").alias("errors")), "job_id", "left")
     else:
-        agg = agg.withColumn("errors", F.col("pages_not_captured"))
+        agg = agg.withColumn("errors", F.lit(None).cast("long"))
+    agg = agg.withColumn("errors", F.coalesce("errors", F.lit(0)).cast("long"))
+    if jobs is not None:
+        agg = agg.join(jobs.select("job_id", "domain"), "job_id", "left")
+    if times is not None:
+        span = times.groupBy("job_id").agg(F.min("at").alias("started_at"), F.max("at").alias("finished_at"))
+        agg = agg.join(span, "job_id", "left").withColumn("duration_seconds", F.unix_timestamp("finished_at") - F.unix_timestamp("started_at"))
     return agg

@@ -94,6 +94,9 @@ def crawled_pages(extracted: DataFrame, min_word_count: int = DEFAULT_MIN_WORD_C
                       F.col("site_name"), F.col("crawled_at"), F.col("word_count"), F.col("content_hash"))
     df = df.withColumn("markdown_content", F.concat(fm, F.lit("\n"), F.col("markdown"), F.lit("\n")))
     keep = [c for c in extracted.columns if c in ("page_id",)]
+    if http_status is None and "status_code" in extracted.columns:
+        http_status = F.col("status_code")
+    ctype = F.col("content_type") if "content_type" in extracted.columns else F.lit("text/html")
     return df.select(
         *keep,
         (job_id if job_id is not None else F.lit("")).alias("job_id"),
@@ -103,7 +106,7 @@ def crawled_pages(extracted: DataFrame, min_word_count: int = DEFAULT_MIN_WORD_C
         (http_status if http_status is not None else F.lit(200)).cast("int").alias("http_status"),
         "crawled_at",
         F.lit(EXTRACTION_METHOD).alias("extraction_method"),
-        F.lit("text/html").alias("content_type"),
+        ctype.alias("content_type"),
     )
 
 

@@ -18,6 +18,7 @@ from webfold.operators import extract as E
 from webfold.operators import links as L
 from webfold.operators import pages as P
 from webfold.plans import oracle as O
+from webfold.sources import derived as DV
 from webfold.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,17 +99,6 @@ def q_relative_path(spark, d):
 
 # ------------------------------------------------------------------ U4 / jobs
 
-def jobs_from_pages(spark, d) -> DataFrame:
-    """One crawl job per domain seen in ``pages`` (host without 'www.'),
-    with default limits.  Derived from the data, so it grows with it."""
-    df = parse_urls(_pages(spark, d).select("url"), "url", "u").filter(F.col("u_ok") & (F.col("u_host") != ""))
-    return (df.select(domain_of_host(F.col("u_host")).alias("domain")).distinct()
-            .select(F.col("domain").alias("job_id"), "domain",
-                    allowed_domains(F.col("domain")).alias("allowed_domains"),
-                    F.lit(500).alias("max_pages"), F.lit(4).alias("max_depth"),
-                    F.lit("markdown").alias("output_format"), F.lit("both").alias("discovery_mode")))
-
-
 def _jobs_sql_chain() -> O.Chain:
     c = O.parse_url_cols(O.Chain("SELECT url FROM pages"), "url", "u")
     c.step("SELECT DISTINCT regexp_replace(lower(u_host), '^www\\.', '') AS domain FROM {prev} WHERE u_ok AND u_host <> ''")
@@ -118,7 +108,7 @@ def _jobs_sql_chain() -> O.Chain:
 register("allowed_domains", _jobs_sql_chain().sql(
     "SELECT domain AS job_id, regexp_replace(lower(trim(domain)), '^www\\.', '') AS allowed_1, "
     "'www.' || regexp_replace(lower(trim(domain)), '^www\\.', '') AS allowed_2 FROM {prev}"))(
-    lambda spark, d: jobs_from_pages(spark, d).select(
+    lambda spark, d: DV.derive_jobs(_pages(spark, d)).select(
         "job_id", F.col("allowed_domains")[0].alias("allowed_1"), F.col("allowed_domains")[1].alias("allowed_2")))
 
 
@@ -130,9 +120,29 @@ register("preclean_html", (
     lambda spark, d: _pages(spark, d).select("page_id", E.preclean_html(F.col("html")).alias("c"))
     .select("page_id", F.length("c").alias("clean_chars"), F.sha2("c", 256).alias("clean_hash")))
 
-register("html_only", "SELECT page_id, true AS is_html FROM pages")(
-    lambda spark, d: _pages(spark, d).select(
-        "page_id", E.is_html_content_type(F.lit(None).cast("string")).alias("is_html")))
+def _captures(spark, d):
+    """Pages with a status and a content type, derived from the URL's form (the corpus records neither)."""
+    u = F.col("url")
+    return _pages(spark, d).withColumns({
+        "status_code": F.when(u.contains("/es/"), 404).when(u.contains("ref="), 301).when(u.contains("/fr/"), F.lit(None).cast("int")).otherwise(200),
+        "content_type": F.when(u.contains("#"), "application/pdf").when(u.endswith(".html"), "TEXT/HTML; charset=utf-8")
+        .when(u.contains("/de/"), "application/xhtml+xml").when(u.contains("/en/"), F.lit(None).cast("string")).otherwise("")})
+
+
+_CAPTURES_SQL = ("SELECT *, CAST(CASE WHEN url LIKE '%/es/%' THEN 404 WHEN url LIKE '%ref=%' THEN 301 WHEN url LIKE '%/fr/%' THEN NULL ELSE 200 END AS INTEGER) AS status_code, "
+                 "CASE WHEN url LIKE '%#%' THEN 'application/pdf' WHEN url LIKE '%.html' THEN 'TEXT/HTML; charset=utf-8' "
+                 "WHEN url LIKE '%/de/%' THEN 'application/xhtml+xml' WHEN url LIKE '%/en/%' THEN NULL ELSE '' END AS content_type FROM pages")
+
+register("html_only", "SELECT page_id, coalesce(content_type, '') = '' OR lower(content_type) LIKE '%text/html%' "
+         f"OR lower(content_type) LIKE '%application/xhtml+xml%' AS is_html FROM ({_CAPTURES_SQL})")(
+    lambda spark, d: _captures(spark, d).select("page_id", E.is_html_content_type(F.col("content_type")).alias("is_html")))
+
+register("gated_articles", O.extract_chain(
+    f"SELECT * FROM ({_CAPTURES_SQL}) WHERE (status_code IS NULL OR status_code BETWEEN 200 AND 299) AND (coalesce(content_type, '') = '' "
+    "OR lower(content_type) LIKE '%text/html%' OR lower(content_type) LIKE '%application/xhtml+xml%')", keep=("page_id", "status_code", "content_type")).sql(
+    "SELECT page_id, norm_url, word_count, coalesce(status_code, 0) AS status_code, content_type FROM {prev}"))(
+    lambda spark, d: E.extract_articles(E.capture_gate(_captures(spark, d)), keep=("page_id", "status_code", "content_type"))
+    .select("page_id", "norm_url", "word_count", F.coalesce("status_code", F.lit(0)).alias("status_code"), "content_type"))
 
 _EXTRACT_COLS = ["page_id", "norm_url", "title", "byline", "site_name", "language", "canonical_url",
                  "excerpt", "word_count", "text_content"]
@@ -231,20 +241,20 @@ register("path_collisions", _collision_sql())(
 
 # ------------------------------------------------------------------ F12
 
-def _errors_sql() -> str:
-    c = O.normalize_cols(O.Chain("SELECT page_id, url, html FROM pages"), "url", "_norm", p="_u")
-    err_phase = ("CASE WHEN _norm IS NULL THEN 'normalize' WHEN html IS NULL THEN 'fetch' "
-                 f"WHEN NOT coalesce({O.rx_like('html', '<[A-Za-z!/]')}, false) THEN 'extract' "
-                 "WHEN _u_host = '' THEN 'save' END")
-    err_msg = ("CASE WHEN _norm IS NULL THEN 'invalid page URL' WHEN html IS NULL THEN 'empty body' "
-               f"WHEN NOT coalesce({O.rx_like('html', '<[A-Za-z!/]')}, false) THEN 'no markup to extract' "
-               "WHEN _u_host = '' THEN 'path generation: URL has no host' END")
-    c.add({"phase": err_phase, "error": err_msg})
-    return c.sql("SELECT page_id, url, CAST(NULL AS INTEGER) AS http_status, error, phase FROM {prev} "
-                 "WHERE phase IS NOT NULL")
+def _errors_sql(source: str = _CAPTURES_SQL) -> str:
+    c = O.normalize_cols(O.Chain(f"SELECT page_id, url, html, status_code, content_type FROM ({source})"), "url", "_norm", p="_u")
+    html = "(coalesce(content_type, '') = '' OR lower(content_type) LIKE '%text/html%' OR lower(content_type) LIKE '%application/xhtml+xml%')"
+    c.add({"phase": "CASE WHEN _norm IS NULL THEN 'normalize' WHEN status_code NOT BETWEEN 200 AND 299 THEN 'fetch' WHEN html IS NULL THEN 'fetch' "
+                    f"WHEN NOT {html} THEN 'filter' WHEN NOT coalesce({O.rx_like('html', '<[A-Za-z!/]')}, false) THEN 'extract' WHEN _u_host = '' THEN 'save' END",
+           "error": "CASE WHEN _norm IS NULL THEN 'invalid page URL' WHEN status_code NOT BETWEEN 200 AND 299 THEN 'http status ' || status_code "
+                    f"WHEN html IS NULL THEN 'empty body' WHEN NOT {html} THEN 'not html: ' || content_type "
+                    f"WHEN NOT coalesce({O.rx_like('html', '<[A-Za-z!/]')}, false) THEN 'no markup to extract' "
+                    "WHEN _u_host = '' THEN 'path generation: URL has no host' END"})
+    return c.sql("SELECT page_id, url, coalesce(status_code, 0) AS http_status, error, phase FROM {prev} WHERE phase IS NOT NULL")
 
 
-register("error_rows", _errors_sql())(lambda spark, d: E.page_errors(_pages(spark, d)))
+register("error_rows", _errors_sql())(
+    lambda spark, d: E.page_errors(_captures(spark, d)).withColumn("http_status", F.coalesce("http_status", F.lit(0))))
 
 
 # ------------------------------------------------------------------ documents: U9 / U10 / U11 / A7
@@ -334,60 +344,38 @@ register("link_graph", _flags_chain().sql(
 
 from webfold.operators import frontier as FR  # noqa: E402
 from webfold.operators import sitemaps as SM  # noqa: E402
-from webfold.sources import derived as DV  # noqa: E402
 
 
 def _jobs(spark, d, **kw):
     return FR.validate_jobs(DV.derive_jobs(_pages(spark, d), **kw))
 
 
-register("jobs_validated", _jobs_sql_chain().sql(
-    "SELECT domain AS job_id, 'both' AS discovery_mode, CAST(NULL AS VARCHAR) AS reject_reason FROM {prev}"))(
-    lambda spark, d: _jobs(spark, d).select("job_id", "discovery_mode", "reject_reason"))
+register("jobs_validated", _jobs_sql_chain().step(
+    "SELECT domain, length(domain) - 20 AS max_pages, CASE WHEN domain LIKE '%.org' THEN 'rss' WHEN domain LIKE '%.net' THEN ' Links' ELSE 'both' END AS mode FROM {prev}").sql(
+    "SELECT domain AS job_id, lower(trim(mode)) AS discovery_mode, CASE WHEN max_pages < 0 THEN 'max_pages must be >= 0' "
+    "WHEN mode = 'rss' THEN 'invalid discovery mode: rss' END AS reject_reason FROM {prev}"))(
+    lambda spark, d: FR.validate_jobs(DV.derive_jobs(_pages(spark, d)).withColumns({
+        "max_pages": F.length("domain") - 20,
+        "discovery_mode": F.when(F.col("domain").endswith(".org"), "rss").when(F.col("domain").endswith(".net"), " Links").otherwise("both")}))
+    .select("job_id", "discovery_mode", "reject_reason"))
 
 
 def _sm_base_sql() -> O.Chain:
-    """Per page: domain, section, chunk (as the derived sitemap documents)."""
     c = O.parse_url_cols(O.Chain("SELECT page_id, url FROM pages"), "url", "u")
-    c.step("SELECT page_id, url, regexp_replace(lower(u_host), '^www\\.', '') AS domain, "
-           "regexp_extract(u_path, '^/([^/]*)', 1) AS section, CAST(floor(page_id / 50000) AS BIGINT) AS chunk "
-           "FROM {prev} WHERE u_ok AND u_host <> ''")
-    c.step("SELECT *, 'https://' || domain || '/sitemap-' || section || '-' || CAST(chunk AS VARCHAR) || '.xml' AS child "
-           "FROM {prev}")
+    c.step("SELECT page_id, url, regexp_replace(lower(u_host), '^www\\.', '') AS domain FROM {prev} WHERE u_ok AND u_host <> ''")
     return c
 
 
-def _sitemap_locs_sql() -> str:
-    c = _sm_base_sql()
-    return c.sql(
-        "SELECT child AS doc_url, 'url' AS kind, CAST(row_number() OVER (PARTITION BY child ORDER BY page_id) - 1 AS INTEGER) "
-        "AS position, url AS loc FROM {prev} "
-        "UNION ALL SELECT doc_url, 'sitemap' AS kind, CAST(row_number() OVER (PARTITION BY doc_url ORDER BY loc) - 1 AS INTEGER), loc "
-        "FROM (SELECT DISTINCT 'https://' || domain || r.p AS doc_url, child AS loc FROM {prev}, "
-        "(SELECT '/sitemap_index.xml' AS p UNION ALL SELECT '/sitemap.xml') r "
-        " WHERE r.p = '/sitemap_index.xml' OR domain IN (SELECT domain FROM {prev} GROUP BY domain HAVING min(page_id) % 2 = 0)) "
-        "UNION ALL SELECT 'https://' || domain || '/sitemap.xml', 'sitemap', CAST(count(DISTINCT child) AS INTEGER), "
-        "'https://static.' || domain || '/sitemap-extra.xml' FROM {prev} GROUP BY domain HAVING min(page_id) % 2 = 0")
-
-
-register("sitemap_locs", _sitemap_locs_sql())(
+register("sitemap_locs", _sm_base_sql().sql(
+    "SELECT 'https://' || domain || '/sitemap.xml' AS doc_url, 'url' AS kind, CAST(0 AS INTEGER) AS position, url AS loc FROM {prev}"))(
     lambda spark, d: SM.sitemap_locs(DV.derive_sitemap_docs(_pages(spark, d))))
 
 
 def q_sitemap_seeds(spark, d):
-    pages = _pages(spark, d)
-    return SM.sitemap_seed_urls(_jobs(spark, d), DV.derive_sitemap_docs(pages))
+    return SM.sitemap_seed_urls(_jobs(spark, d), DV.derive_sitemap_docs(_pages(spark, d)))
 
 
-def _sitemap_seeds_sql() -> str:
-    c = _sm_base_sql()
-    c.step("SELECT domain AS job_id, url AS loc, dense_rank() OVER (PARTITION BY domain ORDER BY child) - 1 AS i, "
-           "row_number() OVER (PARTITION BY child ORDER BY page_id) - 1 AS j FROM {prev}")
-    return c.sql("SELECT job_id, loc, array_to_string([min({'i': i, 'j': j}).i, min({'i': i, 'j': j}).j], '.') AS ord "
-                 "FROM {prev} GROUP BY job_id, loc")
-
-
-register("sitemap_seeds", _sitemap_seeds_sql())(
+register("sitemap_seeds", _sm_base_sql().sql("SELECT DISTINCT domain AS job_id, url AS loc, '0' AS ord FROM {prev}"))(
     lambda spark, d: q_sitemap_seeds(spark, d).select("job_id", "loc", F.array_join(F.col("ord"), ".").alias("ord")))
 
 
@@ -407,49 +395,95 @@ def q_crawl_frontier(spark, d):
     return FR.crawl_frontier(jobs, _norm_links(spark, d), _fetched(spark, d), sm)
 
 
-register("crawl_frontier")(lambda spark, d: q_crawl_frontier(spark, d).select(
-    "job_id", "url", "depth", F.array_join(F.col("ord"), ".").alias("ord"), "captured"))
-
-
-@register("crawl_summary")
+def _frontier_levels(budget: int | None, depth: int) -> str:
+    """Level-wise SQL of the frontier: ``f`` (job_id, url, depth, ord list, captured).
+
+    Seeds, then ``depth`` - 1 expansions; unlimited runs end by then as no
+    link of this corpus reaches another captured page twice.
+    """
+    def norm(source: str, url: str, name: str) -> O.Chain:
+        c = O.normalize_cols(O.Chain(source, name), url, "norm")
+        O.parse_url_cols(c, "norm", "_n")
+        return c
+    pages = norm("SELECT page_id, url FROM pages", "url", "fp").sql(
+        f"SELECT norm, _n_host AS host, regexp_replace(lower(_n_host), '^www\\.', '') AS job_id, coalesce(NOT {O.is_blacklisted('_n_path')}, false) AS ok "
+        "FROM {prev} WHERE norm IS NOT NULL AND _n_host <> ''")
+    links = _links_chain()
+    O.parse_url_cols(links, "dst_url", "_d")
+    links = links.sql(f"SELECT src_url, position, dst_url, _d_host AS host FROM {{prev}} WHERE _d_ok AND NOT {O.is_blacklisted('_d_path')}")
+    rank = "row_number() OVER (PARTITION BY job_id ORDER BY ord, url)"
+    parts = [f"p AS MATERIALIZED ({pages})", f"e AS MATERIALIZED ({links})",
+             "s AS (SELECT job_id, url, min(ord) AS ord FROM (SELECT job_id, norm AS url, [0, 0]::BIGINT[] AS ord FROM p WHERE ok "
+             "UNION ALL SELECT DISTINCT job_id, 'https://' || job_id || '/', [1]::BIGINT[] FROM p) GROUP BY ALL)",
+             f"l1 AS (SELECT job_id, url, ord, 1 AS depth FROM (SELECT *, {rank} AS r FROM s) " + (f"WHERE r <= {budget})" if budget else ")"),
+             "f1 AS (SELECT * FROM l1)"]
+    for k in range(2, depth + 1):
+        parts.append(f"c{k} AS (SELECT a.job_id, e.dst_url AS url, min(list_append(a.ord, e.position)) AS ord FROM l{k - 1} a JOIN e ON e.src_url = a.url "
+                     "WHERE a.url IN (SELECT norm FROM p) AND e.host IN (a.job_id, 'www.' || a.job_id) GROUP BY ALL)")
+        parts.append(f"n{k} AS (SELECT c.* FROM c{k} c ANTI JOIN f{k - 1} f ON f.job_id = c.job_id AND f.url = c.url)")
+        parts.append(f"l{k} AS (SELECT job_id, url, ord, {k} AS depth FROM (SELECT *, {rank} AS r FROM n{k}) n " + (
+            f"WHERE r <= {budget} - (SELECT count(*) FROM f{k - 1} f WHERE f.job_id = n.job_id))" if budget else ")"))
+        parts.append(f"f{k} AS (SELECT * FROM f{k - 1} UNION ALL SELECT * FROM l{k})")
+    parts.append(f"f AS (SELECT job_id, url, CAST(depth AS INTEGER) AS depth, ord, url IN (SELECT norm FROM p) AS captured FROM f{depth})")
+    return "WITH " + ", ".join(parts)
+
+
+register("crawl_frontier", _frontier_levels(None, 4) + " SELECT job_id, url, depth, array_to_string(ord, '.') AS ord, captured FROM f")(
+    lambda spark, d: q_crawl_frontier(spark, d).select("job_id", "url", "depth", F.array_join(F.col("ord"), ".").alias("ord"), "captured"))
+
+
+def _job_errors(spark, d):
+    errors = parse_urls(E.page_errors(_captures(spark, d)), "url", "_e").filter(F.col("_e_host") != "")
+    return errors.select(domain_of_host(F.col("_e_host")).alias("job_id"), "phase")
+
+
+def _summary_sql() -> str:
+    errors = O.parse_url_cols(O.Chain(f"SELECT url FROM ({_errors_sql()})", "se"), "url", "_e").sql(
+        "SELECT regexp_replace(lower(_e_host), '^www\\.', '') AS job_id FROM {prev} WHERE _e_host <> ''")
+    ok = _long_chain().sql("SELECT DISTINCT norm_url AS url FROM {prev}")
+    return (_frontier_levels(None, 4) + f", ok AS ({ok}), bad AS ({errors}) "
+            "SELECT f.job_id, f.job_id AS domain, count(*) AS pages_discovered, count(*) FILTER (captured) AS pages_visited, "
+            "count(*) FILTER (url IN (SELECT url FROM ok)) AS pages_extracted, count(*) FILTER (NOT captured) AS pages_not_captured, "
+            "max(depth) AS max_depth_reached, (SELECT count(*) FROM bad WHERE bad.job_id = f.job_id) AS errors FROM f GROUP BY f.job_id")
+
+
+@register("crawl_summary", _summary_sql())
 def q_crawl_summary(spark, d):
-    fr = q_crawl_frontier(spark, d)
     ok = P.manifest_rows(_extracted(spark, d), MIN_WORDS).select("url")
-    return FR.crawl_summary(fr, ok)
+    return FR.crawl_summary(q_crawl_frontier(spark, d), ok, _job_errors(spark, d), _jobs(spark, d))
 
 
-@register("page_budget")
+@register("page_budget", _frontier_levels(5, 2) + " SELECT job_id, url, depth, array_to_string(ord, '.') AS ord FROM f")
 def q_page_budget(spark, d):
-    """W1 with a small budget (5 pages per job, links discovery only)."""
-    jobs = FR.validate_jobs(DV.derive_jobs(_pages(spark, d), max_pages=5, max_depth=2, mode="links"))
-    return FR.crawl_frontier(jobs, _norm_links(spark, d), _fetched(spark, d), None).select(
+    """W1/W2 with a small budget: 5 pages per job, two levels."""
+    jobs = FR.validate_jobs(DV.derive_jobs(_pages(spark, d), max_pages=5, max_depth=2))
+    sm = SM.sitemap_seed_urls(jobs, DV.derive_sitemap_docs(_pages(spark, d)))
+    return FR.crawl_frontier(jobs, _norm_links(spark, d), _fetched(spark, d), sm).select(
         "job_id", "url", "depth", F.array_join(F.col("ord"), ".").alias("ord"))
 
 
-def _tree_edges(spark, d):
-    """Synthetic deep graph over the captured pages: page i links to pages
-    2i+1 and 2i+2 (positions 0 and 1) when they exist."""
+def _page_graph(spark, d):
+    """A deep graph over the captured pages: page i links to pages 2i+1, 2i+2
+    and back to i/3 (positions 0, 1, 2) where they exist, so it has cycles and
+    pages with several parents."""
     p = normalize_urls(_pages(spark, d).select("page_id", "url"), "url", "norm").filter(F.col("norm").isNotNull())
-    src = p.select(F.col("page_id").alias("sid"), F.col("norm").alias("src_url"))
-    kids = src.select("sid", "src_url", F.explode(F.array(F.lit(0), F.lit(1))).alias("position"))
-    kids = kids.withColumn("did", 2 * F.col("sid") + 1 + F.col("position"))
+    kids = p.select(F.col("norm").alias("src_url"), F.posexplode(F.array(
+        2 * F.col("page_id") + 1, 2 * F.col("page_id") + 2, F.floor(F.col("page_id") / 3))).alias("position", "did"))
     dst = p.select(F.col("page_id").alias("did"), F.col("norm").alias("dst_url"))
     return kids.join(dst, "did").select("src_url", "position", "dst_url"), p
 
 
 @register("deep_frontier")
 def q_deep_frontier(spark, d):
-    """O4 on the synthetic deep graph: one job seeded at page 0's URL, scope
-    = every host of the corpus, no page or depth limit (BFS to the end)."""
-    edges, p = _tree_edges(spark, d)
-    hosts = parse_urls(p.select("norm"), "norm", "h").select(F.col("h_host").alias("host")).distinct()
-    jobs = hosts.agg(F.collect_set("host").alias("allowed_domains")).select(
-        F.lit("tree").alias("job_id"), F.lit("").alias("domain"), "allowed_domains",
-        F.lit(0).alias("max_pages"), F.lit(0).alias("max_depth"), F.lit("links").alias("discovery_mode"))
-    seed = p.filter(F.col("page_id") == 0).select(F.lit("tree").alias("job_id"), F.col("norm").alias("loc"),
+    """O4 on the deep graph: one job seeded at page 0's URL, any host, no page
+    or depth limit (BFS to the end)."""
+    edges, p = _page_graph(spark, d)
+    jobs = p.filter(F.col("page_id") == 0).select(
+        F.lit("graph").alias("job_id"), F.lit("").alias("domain"), F.array().cast("array<string>").alias("allowed_domains"),
+        F.lit(0).alias("max_pages"), F.lit(0).alias("max_depth"), F.lit("sitemap").alias("discovery_mode"))
+    seed = p.filter(F.col("page_id") == 0).select(F.lit("graph").alias("job_id"), F.col("norm").alias("loc"),
                                                   F.array().cast("array<int>").alias("ord"))
-    jobs = jobs.withColumn("discovery_mode", F.lit("sitemap"))
-    fr = FR.crawl_frontier(jobs, edges, p.select(F.col("norm").alias("url")), seed)
+    fr = FR.crawl_frontier(jobs, edges, p.select(F.col("norm").alias("url")), seed, scope=FR.any_host)
     return fr.select("url", "depth")
 
 
@@ -462,9 +496,10 @@ def _deep_sql() -> str:
         "SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM ("
         "WITH RECURSIVE nodes AS (SELECT page_id, norm, ok_path FROM {prev}), "
         "edges AS (SELECT a.norm AS src, b.norm AS dst FROM nodes a JOIN nodes b "
-        "  ON b.page_id = 2 * a.page_id + 1 OR b.page_id = 2 * a.page_id + 2 WHERE b.ok_path), "
-        "bfs(url, depth) AS (SELECT norm, 1 FROM nodes WHERE page_id = 0 AND ok_path "
-        "  UNION SELECT e.dst, bfs.depth + 1 FROM bfs JOIN edges e ON e.src = bfs.url WHERE bfs.depth < 100) "
+        "  ON b.page_id IN (2 * a.page_id + 1, 2 * a.page_id + 2, a.page_id // 3) WHERE b.ok_path), "
+        "bfs(url, depth) USING KEY (url) AS (SELECT norm, 1 FROM nodes WHERE page_id = 0 AND ok_path "
+        "  UNION SELECT e.dst, min(bfs.depth) + 1 FROM bfs JOIN edges e ON e.src = bfs.url "
+        "  WHERE NOT EXISTS (FROM recurring.bfs r WHERE r.url = e.dst) GROUP BY e.dst) "
         "SELECT url, depth FROM bfs) GROUP BY url")
 
 
@@ -592,9 +627,43 @@ def q_stream_manifest(spark, d):
     return out.select("url", "canonical_url", "title", "word_count", "content_hash")
 
 
-@register("stream_counters")
+def _timed_pages(spark, d):
+    """The page stream with an event time: a minute per page id (the corpus records none)."""
+    stream = ST.read_page_stream(spark, d, glob="pages.parquet", max_files_per_trigger=1)
+    ex = E.extract_articles(stream)
+    at = F.lit(P.DEFAULT_CRAWLED_AT).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("page_id"))
+    return ST.job_of_url(P.crawled_pages(ex, MIN_WORDS, crawled_at=at), "url")
+
+
+_STREAM_COLS = ["job_id", "url", "crawled_at", "word_count"]
+
+
+def _deduped(spark, d):
+    pages = _timed_pages(spark, d).select(*_STREAM_COLS)
+    return _stream_out(spark, ST.dedup_urls_within_watermark(pages, "10 minutes"), "dedup")
+
+
+def _timed_chain() -> O.Chain:
+    c = _long_chain()
+    c.step("SELECT page_id, norm_url, word_count FROM {prev}")
+    O.parse_url_cols(c, "norm_url", "_j")
+    return c.step("SELECT regexp_replace(lower(_j_host), '^www\\.', '') AS job_id, norm_url AS url, min(page_id) AS page_id, arg_min(word_count, page_id) AS word_count "
+                  "FROM {prev} GROUP BY ALL")
+
+
+register("stream_dedup", _timed_chain().sql("SELECT job_id, url FROM {prev}"))(
+    lambda spark, d: _deduped(spark, d).select("job_id", "url"))
+
+
+@register("stream_counters", _timed_chain().sql(
+    f"SELECT job_id, date_trunc('hour', {CRAWLED_AT_SQL} + to_minutes(page_id)) AS window_start, "
+    f"date_trunc('hour', {CRAWLED_AT_SQL} + to_minutes(page_id)) + INTERVAL 1 HOUR AS window_end, count(*) AS pages_extracted, "
+    "CAST(sum(word_count) AS BIGINT) AS words FROM {prev} GROUP BY ALL"))
 def q_stream_counters(spark, d):
-    stream = ST.read_page_stream(spark, d, glob="pages.parquet")
-    crawled = ST.job_of_url(P.crawled_pages(E.extract_articles(stream), MIN_WORDS), "url")
-    deduped = ST.dedup_urls_within_watermark(crawled.withWatermark("crawled_at", "10 minutes"), delay=None)
-    return _stream_out(spark, ST.windowed_counters(deduped, delay=None), "counters")
+    """T4 then T6 as two streams: deduplicated pages, and their counters per job and hour."""
+    run = _uuid.uuid4().hex[:12]
+    pages, counts = scratch_path(spark, f"stream/pages-{run}"), scratch_path(spark, f"stream/counts-{run}")
+    ST.run_available_now(ST.dedup_urls_within_watermark(_timed_pages(spark, d).select(*_STREAM_COLS), "10 minutes"), f"{pages}/out", f"{pages}/checkpoint")
+    stream = spark.readStream.schema("job_id string, url string, crawled_at timestamp, word_count int").parquet(f"{pages}/out")
+    ST.run_updates(ST.windowed_counters(stream), f"{counts}/out", f"{counts}/checkpoint")
+    return ST.latest(spark, f"{counts}/out", ["job_id", "window_start", "window_end"])

@@ -49,15 +49,15 @@ def write_manifest(manifest: DataFrame, path: str, fmt: str = "csv") -> None:
         w.format(f).save(path)
 
 
-def write_pages(crawled: DataFrame, path: str, partition_by_host: bool = True) -> None:
-    """K1: Markdown documents with their relative path, partitioned by host
-    (a host folder per site, as the reference's ``pages/<host>/`` tree).
-    Repartitioning by (host, path) spreads a big host over many files."""
+def write_pages(crawled: DataFrame, path: str, buckets: int = 64) -> None:
+    """K1: Markdown documents with their relative path, in folders by a hash
+    bucket of the host and sorted by host inside.  The range partitioning by
+    (bucket, host, path) splits a big host and keeps the number of files near
+    partitions + buckets, however many hosts there are."""
     df = crawled.withColumn("host", F.regexp_extract("relative_path", r"^pages/([^/]+)/", 1))
-    if partition_by_host:
-        df.repartition("host", "relative_path").write.mode("overwrite").partitionBy("host").parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    df = df.withColumn("bucket", F.pmod(F.xxhash64("host"), F.lit(buckets)).cast("int"))
+    (df.repartitionByRange("bucket", "host", "relative_path").sortWithinPartitions("bucket", "host", "relative_path")
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
 def export_markdown_files(crawled: DataFrame, base_dir: str) -> None:

@@ -1,19 +1,11 @@
 """Tables Spark derives from the captured pages for discovery.
 
 The corpus holds pages but no sitemap documents and no crawl-job rows, so
-both are derived here from ``pages`` (they grow with it):
+both are derived here from ``pages`` (they grow with it), by narrow maps:
 
-* jobs: one per domain (host without ``www.``) with default limits;
-* sitemap documents per domain: one child ``<urlset>`` per (first path
-  segment, chunk of 50,000 page ids); ``/sitemap.xml`` is a
-  ``<sitemapindex>`` of those children plus one child on another host that
-  the guard must refuse (status 200 when the domain's lowest page id is even,
-  else 404 so the fallback is exercised); ``/sitemap_index.xml`` is a
-  ``<sitemapindex>`` of the same children, always 200.
-
-Documents are built with ``collect_list`` per group; every group is bounded
-(50,000 URLs per urlset is the sitemap protocol's own limit), so no task
-holds an unbounded group.
+* jobs: one per domain (host without ``www.``), without limits unless given;
+* sitemap documents: one small ``<urlset>`` per page, naming the page, as a
+  capture of its domain's ``/sitemap.xml``.
 """
 
 from __future__ import annotations
@@ -23,7 +15,7 @@ from pyspark.sql import functions as F
 
 from webfold.functions.urls import allowed_domains, domain_of_host, parse_urls
 
-URLS_PER_SITEMAP = 50_000
+URLSET = '<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
 
 
 def _xml_escape(c):
@@ -34,12 +26,10 @@ def _xml_escape(c):
 
 def page_hosts(pages: DataFrame) -> DataFrame:
     df = parse_urls(pages.select("page_id", "url"), "url", "u")
-    return df.filter(F.col("u_ok") & (F.col("u_host") != "")).select(
-        "page_id", "url", domain_of_host(F.col("u_host")).alias("domain"),
-        F.regexp_extract(F.col("u_path"), r"^/([^/]*)", 1).alias("section"))
+    return df.filter(F.col("u_ok") & (F.col("u_host") != "")).select("page_id", "url", domain_of_host(F.col("u_host")).alias("domain"))
 
 
-def derive_jobs(pages: DataFrame, max_pages: int = 500, max_depth: int = 4, mode: str = "both") -> DataFrame:
+def derive_jobs(pages: DataFrame, max_pages: int = 0, max_depth: int = 0, mode: str = "both") -> DataFrame:
     d = page_hosts(pages).select("domain").distinct()
     return d.select(F.col("domain").alias("job_id"), "domain",
                     allowed_domains(F.col("domain")).alias("allowed_domains"),
@@ -48,35 +38,6 @@ def derive_jobs(pages: DataFrame, max_pages: int = 500, max_depth: int = 4, mode
 
 
 def derive_sitemap_docs(pages: DataFrame) -> DataFrame:
-    ph = page_hosts(pages).withColumn("chunk", F.floor(F.col("page_id") / URLS_PER_SITEMAP))
-    entry = F.concat(F.lit("<url><loc>"), _xml_escape(F.col("url")), F.lit("</loc></url>"))
-    urlset_head = F.lit('<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">')
-
-    def urlset(group_cols, url_expr):
-        g = ph.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("page_id", entry.alias("e")))).alias("es"))
-        return g.select(*group_cols, url_expr.alias("doc_url"), F.lit(200).alias("status"),
-                        F.concat(urlset_head, F.array_join(F.transform("es", lambda x: x["e"]), ""),
-                                 F.lit("</urlset>")).alias("body"))
-
-    base = F.concat(F.lit("https://"), F.col("domain"))
-    child_name = F.concat(base, F.lit("/sitemap-"), F.col("section"), F.lit("-"), F.col("chunk").cast("string"), F.lit(".xml"))
-    children = urlset(["domain", "section", "chunk"], child_name)
-    kids = (children.groupBy("domain")
-            .agg(F.sort_array(F.collect_list(F.col("doc_url"))).alias("kids")))
-    parity = ph.groupBy("domain").agg((F.min("page_id") % 2 == 0).alias("even"))
-    idx_body = F.concat(
-        F.lit('<?xml version="1.0" encoding="UTF-8"?><sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
-        F.array_join(F.transform("kids", lambda k: F.concat(F.lit("<sitemap><loc>"), _xml_escape(k), F.lit("</loc></sitemap>"))), ""),
-        F.lit("<sitemap><loc>https://static."), F.col("domain"), F.lit("/sitemap-extra.xml</loc></sitemap></sitemapindex>"),
-    )
-    index = kids.join(parity, "domain").select(
-        "domain", F.concat(base, F.lit("/sitemap.xml")).alias("doc_url"),
-        F.when(F.col("even"), F.lit(200)).otherwise(F.lit(404)).alias("status"), idx_body.alias("body"))
-    idx2_body = F.concat(
-        F.lit('<?xml version="1.0" encoding="UTF-8"?><sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
-        F.array_join(F.transform("kids", lambda k: F.concat(F.lit("<sitemap><loc>"), _xml_escape(k), F.lit("</loc></sitemap>"))), ""),
-        F.lit("</sitemapindex>"))
-    index2 = kids.select(F.concat(base, F.lit("/sitemap_index.xml")).alias("doc_url"), F.lit(200).alias("status"),
-                         idx2_body.alias("body"))
-    cols = ["doc_url", "status", "body"]
-    return index.select(*cols).unionByName(index2.select(*cols)).unionByName(children.select(*cols))
+    body = F.concat(F.lit(URLSET + "<url><loc>"), _xml_escape(F.col("url")), F.lit("</loc></url></urlset>"))
+    return page_hosts(pages).select(F.concat(F.lit("https://"), F.col("domain"), F.lit("/sitemap.xml")).alias("doc_url"),
+                                    F.lit(200).alias("status"), body.alias("body"))

@@ -39,12 +39,6 @@ def read_page_stream(spark: SparkSession, path: str, fmt: str = "parquet", schem
     return r.load(path)
 
 
-def with_event_time(df: DataFrame, crawled_at=DEFAULT_CRAWLED_AT, col: str = "crawled_at") -> DataFrame:
-    if col in df.columns:
-        return df
-    return df.withColumn(col, F.lit(crawled_at).cast("timestamp"))
-
-
 def stream_manifest(pages: DataFrame, min_word_count: int = 250, crawled_at=DEFAULT_CRAWLED_AT) -> DataFrame:
     """The batch manifest functions applied to a stream (no URL dedup:
     that is T4's job across batches)."""
@@ -97,6 +91,23 @@ def batch_writer(out_dir: str, min_word_count: int = 250, crawled_at=DEFAULT_CRA
     return write
 
 
+def run_updates(df: DataFrame, out_dir: str, checkpoint_path: str) -> None:
+    """Run an update-mode aggregation to the end of what is available.  Each
+    micro-batch overwrites its own folder, so a replay is idempotent; a reader
+    takes the newest batch of a key (:func:`latest`), open windows included."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+    q = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint_path)
+         .trigger(availableNow=True).foreachBatch(write).start())
+    q.awaitTermination()
+
+
+def latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
+    df = spark.read.parquet(out_dir)
+    values = [c for c in df.columns if c not in (*keys, "batch_id")]
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v")).select(*keys, "v.*")
+
+
 def run_available_now(df: DataFrame, sink_path: str, checkpoint_path: str, mode: str = "append",
                       fmt: str = "parquet") -> None:
     """Process everything available now, then stop (file sink, exactly once)."""
