@@ -1,5 +1,4 @@
-"""End-to-end: a small fake site as captured pages (the reference's
-integration scenario: 2 articles kept; tag/category/admin/external not)."""
+"""End-to-end: a small fake site as captured pages; two articles are kept."""
 from pyspark.sql import functions as F
 
 from webfold.operators.extract import extract_articles, page_errors
@@ -63,31 +62,6 @@ def test_frontier_scope_and_blacklist(spark):
                     "https://example.com/blog/second-post", "https://example.com/about"}
 
 
-def test_budget(spark):
-    home = "<html><body>" + "".join(f"<a href='/p{i}'>{i}</a>" for i in range(20)) + "</body></html>"
-    pages = spark.createDataFrame([(1, "https://example.com/", home)], "page_id long, url string, html string")
-    jobs = spark.createDataFrame(
-        [("j", "example.com", ["example.com", "www.example.com"], 5, 4, "links")],
-        "job_id string, domain string, allowed_domains array<string>, max_pages int, max_depth int, discovery_mode string")
-    fr = crawl_frontier(jobs, page_links(pages).select("src_url", "position", "dst_url"), pages.select("url"),
-                        None)
-    rows = fr.orderBy("ord").collect()
-    assert len(rows) == 5
-    assert [r.url for r in rows] == ["https://example.com/"] + [f"https://example.com/p{i}" for i in range(4)]
-
-
-def test_duplicate_links_use_no_budget(spark):
-    home = "<html><body>" + "<a href='/duplicate'>d</a>" * 3 + "<a href='/unique'>u</a></body></html>"
-    pages = spark.createDataFrame([(1, "https://example.com/", home)], "page_id long, url string, html string")
-    jobs = spark.createDataFrame(
-        [("j", "example.com", ["example.com", "www.example.com"], 3, 4, "links")],
-        "job_id string, domain string, allowed_domains array<string>, max_pages int, max_depth int, discovery_mode string")
-    fr = crawl_frontier(jobs, page_links(pages).select("src_url", "position", "dst_url"), pages.select("url"),
-                        None)
-    assert sorted(r.url for r in fr.collect()) == ["https://example.com/", "https://example.com/duplicate",
-                                                   "https://example.com/unique"]
-
-
 def test_invalid_jobs(spark):
     jobs = spark.createDataFrame([("a", "e.com", 1, 1, "BOTH"), ("b", "e.com", -1, 1, "links"),
                                   ("c", "e.com", 1, 1, "rss")],

@@ -1,4 +1,4 @@
-from webfold.operators.sitemaps import expand_sitemaps, sitemap_locs, sitemap_seed_urls
+from webfold.operators.sitemaps import expand_sitemaps, feed_links, sitemap_errors, sitemap_locs, sitemap_seed_urls
 
 NS = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
 
@@ -55,3 +55,28 @@ def test_cyclic_index_ends(spark):
                                   "job_id string, domain string, prio int, root_url string")
     out = expand_sitemaps(roots, docs).collect()
     assert [r.loc for r in out] == ["https://example.com/z"]
+
+
+def docs_df(spark, *rows):
+    return spark.createDataFrame([(f"https://garden.test/{k}.xml", status, body) for k, (status, body) in enumerate(rows)], "doc_url string, status int, body string")
+
+
+def test_root_tag_decides_and_errors_are_told(spark):
+    docs = docs_df(spark, (200, "<feed><url><loc>https://garden.test/no</loc></url></feed>"), (200, "<?xml version='1.0'?><!-- c -->\n" + urlset("https://garden.test/yes")),
+                   (200, "<urlset><url><loc>https://garden.test/cut"), (500, urlset("https://garden.test/x")), (200, ""))
+    assert [r.loc for r in sitemap_locs(docs).collect()] == ["https://garden.test/yes"]
+    assert {r.doc_url[-5]: r.error for r in sitemap_errors(docs).collect()} == {"0": "no sitemap", "2": "malformed or empty", "3": "http status 500", "4": "no sitemap"}
+
+
+def test_a_large_sitemap_keeps_all_its_urls(spark):
+    locs = [f"https://garden.test/{k}/{'x' * 300}" for k in range(40_000)]
+    docs = docs_df(spark, (200, urlset(*locs)))
+    assert len(urlset(*locs)) > 10 * 1024 * 1024
+    assert sitemap_locs(docs).count() == len(locs)
+
+
+def test_feeds(spark):
+    rss = "<rss><channel><item><link>https://garden.test/a</link></item><item><link> https://garden.test/b </link></item></channel></rss>"
+    atom = '<feed xmlns="http://www.w3.org/2005/Atom"><entry><link rel="self" href="https://garden.test/s"/><link href="https://garden.test/c"/></entry></feed>'
+    got = feed_links(docs_df(spark, (200, rss), (200, atom), (404, rss), (200, urlset("x")))).collect()
+    assert sorted((r.doc_url[-5], r.position, r.loc) for r in got) == [("0", 0, "https://garden.test/a"), ("0", 1, "https://garden.test/b"), ("1", 0, "https://garden.test/c")]

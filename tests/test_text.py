@@ -1,4 +1,5 @@
 import datetime as dt
+from html import unescape
 
 from pyspark.sql import functions as F
 
@@ -6,35 +7,35 @@ from webfold.functions import text as T
 from webfold.operators.pages import front_matter
 
 
+def got(spark, rows, f):
+    df = spark.createDataFrame(rows, "s string, want string")
+    return [(r.s, r.want, r.got) for r in df.select("s", "want", f(F.col("s")).cast("string").alias("got")).collect()]
+
+
 def test_word_count(spark):
-    rows = [("", 0), ("hello", 1), ("hello world", 2), ("  spaced   out  ", 2), ("one\ntwo\tthree", 3),
-            ("a b", 2)]
-    df = spark.createDataFrame(rows, "s string, want int")
-    for r in df.select("want", T.word_count(F.col("s")).alias("got")).collect():
-        assert r.got == r.want
+    rows = [("", "0"), (" \t\n", "0"), ("rake", "1"), ("\u00a0rake \u2003 hoe\u3000", "2"), ("a\nb\tc\x0bd\re", "5"), (None, "0")]
+    for s, want, have in got(spark, rows, T.word_count):
+        assert want == have, s
 
 
 def test_normalize_markdown(spark):
-    rows = [("Line one\n\n\n\n\nLine two", "Line one\n\nLine two"), ("  \n\n content \n\n  ", "content"),
-            ("line1\r\nline2\rline3\nline4", "line1\nline2\nline3\nline4"),
-            ("para one\r\n\r\n\r\npara two", "para one\n\npara two"), ("a\n\nb", "a\n\nb"), ("  \n\t ", "")]
-    df = spark.createDataFrame(rows, "s string, want string")
-    for r in df.select("want", T.normalize_markdown(F.col("s")).alias("got")).collect():
-        assert r.got == r.want
+    rows = [("# Frost\r\rCover\r\n\r\n\r\n\r\nbeds", "# Frost\n\nCover\n\nbeds"), ("\n \t x \n\n", "x"), ("a\n \nb", "a\n \nb"), (" \n", "")]
+    for s, want, have in got(spark, rows, T.normalize_markdown):
+        assert want == have, s
 
 
-def test_entities(spark):
-    rows = [("a &amp;lt; b", "a &lt; b"), ("&#233;t&#xE9;", "été"), ("&#38;lt;", "&lt;"), ("x &copy; y", "x © y")]
-    df = spark.createDataFrame(rows, "s string, want string")
-    for r in df.select("want", T.decode_entities(F.col("s")).alias("got")).collect():
-        assert r.got == r.want
+def test_character_references(spark):
+    cases = ["a &amp;lt; b", "caf&eacute; &uuml;ber", "&#233;t&#xE9;", "&#0000000065;&#x00000041;", "&#38;lt;", "&copy;&hellip;&nbsp;x", "&xyzzy; & &;", "A&B&", "&amp;amp;amp;",
+             "&#xD800;|&#0;|&#x110000;|&#99999999999999999999999;", "no reference", "", "&NotEqualTilde;&lang;&rang;"]
+    rows = [(c, unescape(c)) for c in cases]
+    for s, want, have in got(spark, rows, T.decode_entities):
+        assert want == have, s
 
 
 def test_front_matter(spark):
-    df = spark.createDataFrame([("https://e.com/a", "", 'Title with "quotes" and: colons', "", "Site", 42, "abc")],
+    df = spark.createDataFrame([("https://garden.test/frost", "", 'Frost: "what to\\do"', "Ann", "", 12, "ff00")],
                                "u string, c string, t string, b string, s string, w int, h string")
-    ts = F.lit(dt.datetime(2026, 3, 1, 12, 0, 0)).cast("timestamp")
-    fm = df.select(front_matter(F.col("u"), F.col("c"), F.col("t"), F.col("b"), F.col("s"), ts, F.col("w"),
-                                F.col("h")).alias("fm")).first().fm
-    assert fm == ('---\nurl: "https://e.com/a"\ntitle: "Title with \\"quotes\\" and: colons"\n'
-                  'site_name: "Site"\ncrawled_at: "2026-03-01T12:00:00Z"\nword_count: 42\ncontent_hash: "abc"\n---\n')
+    ts = F.lit(dt.datetime(2031, 11, 5, 6, 7, 8)).cast("timestamp")
+    fm = df.select(front_matter(F.col("u"), F.col("c"), F.col("t"), F.col("b"), F.col("s"), ts, F.col("w"), F.col("h")).alias("fm")).first().fm
+    assert fm == ('---\nurl: "https://garden.test/frost"\ntitle: "Frost: \\"what to\\\\do\\""\nbyline: "Ann"\n'
+                  'crawled_at: "2031-11-05T06:07:08Z"\nword_count: 12\ncontent_hash: "ff00"\n---\n')

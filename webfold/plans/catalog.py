@@ -229,16 +229,6 @@ def q_article_manifest(spark, d):
 register("article_manifest", _manifest_sql())(q_article_manifest)
 
 
-def _collision_sql() -> str:
-    m = _manifest_sql()
-    return (f"SELECT relative_path, count(*) AS n_urls, min(url) AS first_url, max(url) AS last_url "
-            f"FROM ({m}) GROUP BY relative_path HAVING count(*) > 1")
-
-
-register("path_collisions", _collision_sql())(
-    lambda spark, d: P.path_collisions(q_article_manifest(spark, d)))
-
-
 # ------------------------------------------------------------------ F12
 
 def _errors_sql(source: str = _CAPTURES_SQL) -> str:
@@ -309,6 +299,17 @@ register("resolve_links", _links_chain().sql("SELECT page_id, position, href, ab
     lambda spark, d: q_page_links(spark, d).select("page_id", "position", "href", "abs_url"))
 
 
+def _collision_sql() -> str:
+    c = _links_chain().step("SELECT DISTINCT dst_url FROM {prev}")
+    O.relative_path_cols(c, "dst_url", "relative_path")
+    return c.sql("SELECT relative_path, count(*) AS n_urls, min(dst_url) AS first_url, max(dst_url) AS last_url FROM {prev} "
+                 "GROUP BY relative_path HAVING count(*) > 1")
+
+
+register("path_collisions", _collision_sql())(lambda spark, d: P.path_collisions(
+    relative_paths(q_page_links(spark, d).select(F.col("dst_url").alias("url")).distinct(), "url", "relative_path")))
+
+
 def _flags_chain() -> O.Chain:
     c = _links_chain()
     O.parse_url_cols(c, "dst_url", "_d")
