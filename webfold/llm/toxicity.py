@@ -3,8 +3,8 @@
 Features are the presence of words, word pairs and pairs with one or two words
 between, hashed to 2**BITS buckets; case and punctuation don't count.  Training
 uses a sample of labelled rows bounded by ``per_class`` (in expectation, chosen
-by a hash of the id), and buckets that at least ``min_docs`` sample rows hold,
-at most ``max_features`` of them.  The sample is dealt to ``SHARDS`` partitions;
+by a hash of the id), and buckets that at least ``min_docs`` sample rows hold
+(more, if over ``max_features`` would be left).  The sample is dealt to ``SHARDS`` partitions;
 in each epoch every shard runs FTRL-proximal (per-coordinate rates, L1
 sparsity) from the common state, and the driver averages each coordinate over
 the shards that changed it (arrays of at most ``max_features`` floats).  What
@@ -100,15 +100,36 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["label", "shard", "at"])
 
 
+_SLICE = 1 << 16  # buckets whose counts travel as one row
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << BITS, np.int32)
+    total = np.zeros(1 << BITS, np.uint32)
     for batch in batches:
-        at = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-        np.add.at(total, at, 1)
-    found = np.flatnonzero(total > 0)
-    for k in range(0, len(found), 1 << 16):
-        part = found[k:k + (1 << 16)]
-        yield pa.RecordBatch.from_pydict({"at": pa.array(part.astype(np.int32)), "n": pa.array(total[part].astype(np.int64))})
+        at, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+        total[at] += n.astype(np.uint32)
+    for k in range(0, len(total), _SLICE):
+        yield pa.RecordBatch.from_pydict({"slice": pa.array([k // _SLICE], pa.int32()), "counts": pa.array([total[k:k + _SLICE].tobytes()], pa.binary())})
+
+
+def _summed(min_docs: int):
+    def run(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_py(), np.uint32).astype(np.int64) for c in table["counts"])
+        at = np.flatnonzero(total >= min_docs)
+        return pa.table({"at": pa.array(at + table["slice"][0].as_py() * _SLICE, pa.int32()), "n": pa.array(total[at], pa.int64())})
+    return run
+
+
+def common_buckets(sample: DataFrame, min_docs: int, max_features: int) -> np.ndarray:
+    """Sorted buckets that at least ``min_docs`` rows hold; so many more if over ``max_features`` would be left."""
+    counted = cut(sample.select("at").mapInArrow(_counts, "slice int, counts binary").groupBy("slice").applyInArrow(_summed(min_docs), "at int, n bigint"))
+    least, kept = min_docs, 0
+    for r in counted.groupBy("n").agg(F.count("*").alias("buckets")).orderBy(F.desc("n")).collect():  # at most a row per sample size
+        kept += r.buckets
+        if kept > max_features:
+            least = r.n + 1
+            break
+    return np.sort(counted.where(F.col("n") >= least).select("at").toArrow()["at"].to_numpy())
 
 
 def _epoch(state, ftrl: Ftrl, seed: int):
@@ -129,7 +150,7 @@ def _epoch(state, ftrl: Ftrl, seed: int):
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 16_000, min_docs: int = 4,
-          max_features: int = 1 << 18, epochs: int = 8, ftrl: Ftrl = Ftrl()) -> Model:
+          max_features: int = 1 << 17, epochs: int = 8, ftrl: Ftrl = Ftrl()) -> Model:
     """Learn from labelled rows that are not held out."""
     spark = docs.sparkSession
     usable = (labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1) & ~held_out())
@@ -140,14 +161,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
     rate = {k: min(1.0, per_class / n) for k, n in sizes.items()}
     share = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
     chosen = usable.where(share < F.when(F.col("label") == 1, rate[1]).otherwise(rate[0]))
-    sample = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
                  .select(F.col("label").cast("int").alias("label"), F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int").alias("shard"), "text")
                  .mapInArrow(_sample_features, "label int, shard int, at array<int>"))
-    common = (sample.select("at").mapInArrow(_counts, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
-              .where(F.col("n") >= min_docs).orderBy(F.desc("n"), "at").limit(max_features))
-    buckets = np.sort(np.array([r.at for r in common.select("at").collect()], np.int32))
-    z, n = np.zeros(len(buckets) + 1), np.zeros(len(buckets) + 1)
     dealt = cut(sample.repartition(SHARDS, "shard"))
+    buckets = common_buckets(dealt, min_docs, max_features)
+    z, n = np.zeros(len(buckets) + 1), np.zeros(len(buckets) + 1)
     for epoch in range(epochs):
         state = spark.sparkContext.broadcast((buckets, z, n))
         done = dealt.mapInArrow(_epoch(state, ftrl, epoch), "z binary, n binary").collect()
