@@ -46,7 +46,7 @@ def test_pages_in_few_files_by_host_bucket(spark):
 def test_errors_and_summary_round_trip(spark):
     out = tempfile.mkdtemp(prefix="webfold-test-")
     errors = spark.createDataFrame([(1, "https://e.test/a", 404, 'said "no", twice', "fetch")], "page_id long, url string, http_status int, error string, phase string")
-    write_errors(errors, out + "/errors")
+    write_errors(errors.coalesce(1), out + "/errors")
     rows = [r for f in glob.glob(out + "/errors/*.csv") for r in csv.reader(open(f, encoding="utf-8"))]
     assert rows == [["page_id", "url", "http_status", "error", "phase"], ["1", "https://e.test/a", "404", 'said "no", twice', "fetch"]]
     summary = spark.createDataFrame([("j", 3)], "job_id string, pages_discovered long")

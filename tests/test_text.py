@@ -39,3 +39,22 @@ def test_front_matter(spark):
     fm = df.select(front_matter(F.col("u"), F.col("c"), F.col("t"), F.col("b"), F.col("s"), ts, F.col("w"), F.col("h")).alias("fm")).first().fm
     assert fm == ('---\nurl: "https://garden.test/frost"\ntitle: "Frost: \\"what to\\\\do\\""\nbyline: "Ann"\n'
                   'crawled_at: "2031-11-05T06:07:08Z"\nword_count: 12\ncontent_hash: "ff00"\n---\n')
+
+
+MARKDOWN = [
+    ("<h2>Soil</h2><p>Dig <b>deep</b> &amp; wide.</p>", "## Soil\n\nDig **deep** & wide."),
+    ("<ol><li>one</li><li>two</ol><ul><li>three</ul>", "1. one\n1. two\n\n- three"),
+    ("<p><strong>a <em>b</em></strong> <em>c <b>d</b></em></p>", "**a *b*** *c **d***"),
+    ("<p><a href=/x>x</a> <a class='k' href='/y?a=1'>y</a> <a href=\"/z\">z</a></p>", "[x](/x) [y](/y?a=1) [z](/z)"),
+    ("<pre><code>if x:\n    dig()  # now</code></pre><p>then   rest</p>", "```\nif x:\n    dig()  # now\n```\n\nthen rest"),
+    ("<blockquote><p>first</p><p>second<br>third</p></blockquote>after", "> first\n>\n> second\n>\n> third\n\nafter"),
+    ("<p>use <code>rake()</code></p><hr>", "use `rake()`\n\n* * *"),
+    ("", ""),
+]
+
+
+def test_markdown_of_html(spark):
+    from webfold.operators.pages import to_markdown
+    df = spark.createDataFrame(MARKDOWN, "content_html string, want string")
+    for r in to_markdown(df).collect():
+        assert r.markdown == r.want, r.content_html

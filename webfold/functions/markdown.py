@@ -16,8 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARKDOWN_RULES: list[tuple[str, str]] = [
-    (r"(?i)<pre\b[^>]*>", "\n\n```\n"),
-    (r"(?i)</pre\s*>", "\n```\n\n"),
+    (r"(?is)<pre\b[^>]*>\s*(?:<code\b[^>]*>)?", "\n\n```\n"),
+    (r"(?is)(?:</code\s*>\s*)?</pre\s*>", "\n```\n\n"),
     (r"(?i)<h1\b[^>]*>", "\n\n# "),
     (r"(?i)<h2\b[^>]*>", "\n\n## "),
     (r"(?i)<h3\b[^>]*>", "\n\n### "),
@@ -25,16 +25,19 @@ MARKDOWN_RULES: list[tuple[str, str]] = [
     (r"(?i)<h5\b[^>]*>", "\n\n##### "),
     (r"(?i)<h6\b[^>]*>", "\n\n###### "),
     (r"(?i)</h[1-6]\s*>", "\n\n"),
+    # inner marks first, so that either may stand in the other
+    (r"(?is)<code\b[^>]*>([^<]*)</code\s*>", "`$1`"),
+    (r"(?is)<(?:i|em)\b[^>]*>([^<]*)</(?:i|em)\s*>", "*$1*"),
     (r"(?is)<(?:b|strong)\b[^>]*>([^<]*)</(?:b|strong)\s*>", "**$1**"),
     (r"(?is)<(?:i|em)\b[^>]*>([^<]*)</(?:i|em)\s*>", "*$1*"),
-    (r"(?is)<code\b[^>]*>([^<]*)</code\s*>", "`$1`"),
     (r"""(?is)<a\b[^>]*?\shref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
     (r"""(?is)<a\b[^>]*?\shref\s*=\s*'([^']*)'[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
+    (r"""(?is)<a\b[^>]*?\shref\s*=\s*([^\s"'>]+)[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
     (r"""(?is)<img\b[^>]*?\ssrc\s*=\s*"([^"]*)"[^>]*>""", "![]($1)"),
     (r"(?i)<li\b[^>]*>", "\n- "),
     (r"(?i)</li\s*>", ""),
     (r"(?i)</?(?:ul|ol)\b[^>]*>", "\n\n"),
-    (r"(?i)<blockquote\b[^>]*>", "\n\n> "),
+    (r"(?i)<blockquote\b[^>]*>", "\n\n> "),  # a quote left open
     (r"(?i)</blockquote\s*>", "\n\n"),
     (r"(?i)<hr\b[^>]*>", "\n\n* * *\n\n"),
     (r"(?i)<br\s*/?>", "\n"),
@@ -44,18 +47,37 @@ MARKDOWN_RULES: list[tuple[str, str]] = [
     (r"</?[A-Za-z][^>]*>|<![^>]*>", ""),
 ]
 # after entity decoding: horizontal whitespace runs → one space, spaces
-# around line breaks dropped
+# around line breaks dropped, but for fenced code
 MD_HSPACE = r"[\t\x0B\f \x{85}\p{Z}]+"
 MD_LINE_EDGES = r" *\n *"
+FENCE = "```"
+OL_OPEN, OL_INSIDE = r"(?i)<ol\b[^>]*>", r"(?is)^(.*?)(?:</ol\s*>|\z)"
+QUOTE_OPEN, QUOTE_INSIDE = r"(?i)<blockquote\b[^>]*>", r"(?is)^(.*?)(?:</blockquote\s*>|\z)"
+ITEM, QUOTE_BREAK = r"(?i)<li\b[^>]*>", r"(?is)(?:\s|<br\s*/?>|</?p\b[^>]*>)*(?:<br\s*/?>|</?p\b[^>]*>)(?:\s|<br\s*/?>|</?p\b[^>]*>)*"
+
+
+def _inside(html: Column, opening: str, inside: str, rewrite) -> Column:
+    """Rewrite what follows each opening tag up to its closing tag."""
+    parts = F.split(html, opening, -1)
+
+    def one(x: Column) -> Column:
+        body = F.regexp_extract(x, inside, 1)
+        return F.concat(rewrite(body), F.substr(x, F.length(body) + 1))
+    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), one), ""))
 
 
 def markdown_markup(html: Column) -> Column:
-    """Apply :data:`MARKDOWN_RULES` in order (entities still encoded)."""
-    out = html
+    """Number the items of ordered lists, mark every line of a quote, then apply
+    :data:`MARKDOWN_RULES` in order (entities still encoded)."""
+    out = _inside(html, OL_OPEN, OL_INSIDE, lambda b: F.concat(F.lit("\n\n"), F.regexp_replace(b, ITEM, "\n1. ")))
+    out = _inside(out, QUOTE_OPEN, QUOTE_INSIDE, lambda b: F.concat(F.lit("\n\n> "), F.regexp_replace(
+        F.regexp_replace(b, "^(?:" + QUOTE_BREAK + r")|(?:" + QUOTE_BREAK + r")\z", ""), QUOTE_BREAK, "\n>\n> ")))
     for pat, rep in MARKDOWN_RULES:
         out = F.regexp_replace(out, pat, rep)
     return out
 
 
 def markdown_spacing(s: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(s, MD_HSPACE, " "), MD_LINE_EDGES, "\n")
+    def one(x: Column, i: Column) -> Column:
+        return F.when(i % 2 == 1, x).otherwise(F.regexp_replace(F.regexp_replace(x, MD_HSPACE, " "), MD_LINE_EDGES, "\n"))
+    return F.array_join(F.transform(F.split(s, FENCE, -1), one), FENCE)

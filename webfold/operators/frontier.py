@@ -98,8 +98,10 @@ def seeds(jobs: DataFrame, sitemap_urls: DataFrame | None, scope=in_job_scope) -
     ``[0] ++ ord`` for a sitemap entry (document order) and ``[1]`` for the
     homepage, so sitemap entries come first.
     """
-    home = (jobs.filter(F.col("discovery_mode").isin("links", "both"))
-            .select("job_id", F.concat(F.lit("https://"), F.col("domain"), F.lit("/")).alias("raw")))
+    front = F.concat(F.lit("https://"), F.col("domain"), F.lit("/"))
+    if "seed_url" in jobs.columns:  # U5: a job may name its own first page
+        front = F.coalesce(F.nullif(F.trim("seed_url"), F.lit("")), front)
+    home = jobs.filter(F.col("discovery_mode").isin("links", "both")).select("job_id", front.alias("raw"))
     home = normalize_urls(home, "raw", "url").filter(F.col("url").isNotNull()).select(
         "job_id", "url", F.array(F.lit(1).cast("long")).alias("okey"))
     if sitemap_urls is None:
@@ -146,7 +148,8 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
     pages captured since.  ``article_first`` (F19, W6) ranks URLs that look like
     articles before the others found at the same level.
     """
-    jobs = jobs.select("job_id", "domain", "allowed_domains", "max_pages", "max_depth", "discovery_mode")
+    jobs = jobs.select("job_id", "domain", "allowed_domains", "max_pages", "max_depth", "discovery_mode",
+                       *[c for c in ("seed_url",) if c in jobs.columns])
     spark = jobs.sparkSession
     stats = jobs.agg(F.max(F.when(F.col("max_pages") > 0, F.col("max_pages"))).alias("cap"),
                      F.max(F.when(F.col("max_depth") > 0, F.col("max_depth"))).alias("depth"),

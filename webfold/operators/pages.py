@@ -75,7 +75,7 @@ def dedup_by_url(df: DataFrame, url: str = "norm_url", order: str = "page_id") -
 
 def crawled_pages(extracted: DataFrame, min_word_count: int = DEFAULT_MIN_WORD_COUNT,
                   crawled_at=DEFAULT_CRAWLED_AT, http_status: Column | None = None,
-                  job_id: Column | None = None) -> DataFrame:
+                  job_id: Column | None = None, converter=None) -> DataFrame:
     """Extracted → F6 → E2 → U11 → U10 → U12 → U14 → ``CrawledPage`` rows.
 
     ``url`` in the output is the normalised request URL (the reference
@@ -84,7 +84,7 @@ def crawled_pages(extracted: DataFrame, min_word_count: int = DEFAULT_MIN_WORD_C
     """
     df = extracted.filter(F.col("norm_url").isNotNull())
     df = df.filter(F.col("word_count") >= F.lit(int(min_word_count)))
-    df = to_markdown(df)
+    df = (converter or to_markdown)(df)  # X4: any function that adds a column ``markdown``
     df = relative_paths(df, "norm_url", "relative_path")
     df = df.withColumns({
         "content_hash": content_hash(F.col("text_content")),

@@ -138,13 +138,13 @@ def canonical_identity(extracted: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def page_event_json(crawled: DataFrame) -> DataFrame:
-    """A page event as JSON; empty optional fields are omitted
+    """A whole page event as JSON; empty optional fields are omitted
     (``nullif`` + ``to_json`` drops nulls), timestamps as RFC 3339."""
     opt = ["byline", "site_name", "language", "excerpt"]
     fields = []
     for c in ["job_id", "url", "canonical_url", "title", "byline", "site_name", "language", "published_time",
-              "relative_path", "word_count", "content_hash", "http_status", "crawled_at", "extraction_method",
-              "content_type"]:
+              "relative_path", "markdown_content", "text_content", "excerpt", "word_count", "content_hash", "http_status", "crawled_at",
+              "extraction_method", "content_type"]:
         v = F.col(c)
         if c in ("crawled_at", "published_time"):
             v = T.rfc3339(v)
@@ -152,3 +152,17 @@ def page_event_json(crawled: DataFrame) -> DataFrame:
             v = F.nullif(v, F.lit(""))
         fields.append(v.alias(c))
     return crawled.select("page_id", F.to_json(F.struct(*fields)).alias("event_json"))
+
+
+def summary_event_json(summary: DataFrame) -> DataFrame:
+    """A job's summary event."""
+    fields = [F.col(c) if c not in ("started_at", "finished_at") else T.rfc3339(F.col(c)).alias(c)
+              for c in ("job_id", "domain", "pages_discovered", "pages_visited", "pages_extracted", "errors", "started_at", "finished_at") if c in summary.columns]
+    return summary.select("job_id", F.to_json(F.struct(*fields)).alias("event_json"))
+
+
+def error_event_json(errors: DataFrame, occurred_at) -> DataFrame:
+    """An error event; an unknown (null or 0) status is omitted."""
+    return errors.select("url", F.to_json(F.struct(*[F.col(c) for c in ("job_id",) if c in errors.columns], F.col("url"),
+        F.nullif(F.col("http_status"), F.lit(0)).alias("http_status"), F.col("error"), F.col("phase"),
+        T.rfc3339(F.lit(occurred_at).cast("timestamp")).alias("occurred_at"))).alias("event_json"))

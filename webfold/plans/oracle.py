@@ -16,6 +16,7 @@ from __future__ import annotations
 from webfold.constants import (ARTICLE_PATTERNS, BLACKLIST_SEGMENTS, TRACKING_PARAMS)
 from webfold.functions import text as T
 from webfold.functions import urls as U
+from webfold.functions import markdown as MD
 from webfold.functions.markdown import MARKDOWN_RULES, MD_HSPACE, MD_LINE_EDGES
 
 
@@ -277,8 +278,18 @@ def rfc3339(e: str) -> str:
     return f"strftime({e}, '%Y-%m-%dT%H:%M:%SZ')"
 
 
+def _inside(e: str, opening: str, inside: str, rewrite) -> str:
+    parts = f"string_split_regex({e}, {q(opening)})"
+    body = rx_extract("x", inside, 1)
+    one = f"({rewrite(body)} || substr(x, length({body}) + 1))"
+    return f"({parts}[1] || array_to_string([{one} for x in {parts}[2:]], ''))"
+
+
 def markdown_markup(e: str) -> str:
-    out = e
+    out = _inside(e, MD.OL_OPEN, MD.OL_INSIDE, lambda b: f"chr(10) || chr(10) || {rx_replace(b, MD.ITEM, chr(10) + '1. ')}")
+    edge = "^(?:" + MD.QUOTE_BREAK + r")|(?:" + MD.QUOTE_BREAK + r")\z"
+    out = _inside(out, MD.QUOTE_OPEN, MD.QUOTE_INSIDE, lambda b: "chr(10) || chr(10) || '> ' || " + rx_replace(
+        rx_replace(b, edge, ""), MD.QUOTE_BREAK, chr(10) + ">" + chr(10) + "> "))
     for pat, rep in MARKDOWN_RULES:
         out = rx_replace(out, pat, dollar_to_backslash(rep))
     return out
@@ -340,5 +351,6 @@ def markdown_expr(e: str) -> str:
 
 
 def markdown_finish(md1: str) -> str:
-    spaced = rx_replace(rx_replace(decode_entities(md1), MD_HSPACE, " "), MD_LINE_EDGES, "\n")
-    return normalize_markdown(spaced)
+    text = f"string_split({decode_entities(md1)}, {q(MD.FENCE)})"
+    loose = rx_replace(rx_replace("x", MD_HSPACE, " "), MD_LINE_EDGES, chr(10))
+    return normalize_markdown(f"array_to_string(list_transform({text}, lambda x, i: CASE WHEN i % 2 = 0 THEN x ELSE {loose} END), {q(MD.FENCE)})")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from webfold.constants import MANIFEST_COLUMNS
 from webfold.functions.text import rfc3339
 
+# fixed values: the wide manifest's columns in order
+WIDE_MANIFEST_COLUMNS = ["url", "canonical_url", "relative_path", "title", "byline", "site_name", "word_count", "content_hash", "crawled_at", "status"]
 MANIFEST_FORMATS = ("csv", "parquet", "json")
 
 
@@ -39,9 +41,11 @@ def _manifest_strings(manifest: DataFrame) -> DataFrame:
 
 def write_manifest(manifest: DataFrame, path: str, fmt: str = "csv") -> None:
     """K3/K6: manifest with the fixed column order; CSV with header, RFC 3339
-    times, standard quoting (quotes doubled, empty fields bare)."""
+    times, standard quoting (quotes doubled, empty fields bare).  Parquet and
+    JSON also hold byline and site name where the rows have them."""
     f = manifest_format(fmt)
-    out = _manifest_strings(manifest) if f == "csv" else manifest.select(*MANIFEST_COLUMNS)
+    wide = [c for c in WIDE_MANIFEST_COLUMNS if c in manifest.columns] or MANIFEST_COLUMNS
+    out = _manifest_strings(manifest) if f == "csv" else manifest.select(*wide)
     w = out.write.mode("overwrite")
     if f == "csv":
         w.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)

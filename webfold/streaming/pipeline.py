@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfold.operators.extract import extract_articles, page_errors
+from webfold.constants import MANIFEST_COLUMNS, MANIFEST_STATUS_OK
+from webfold.operators.extract import capture_gate, extract_articles, page_errors
 from webfold.operators.pages import DEFAULT_CRAWLED_AT, crawled_pages, manifest_rows
 from webfold.sources.tables import PAGES_SCHEMA
 from webfold.functions.urls import domain_of_host, parse_urls
@@ -77,17 +78,32 @@ def windowed_counters(crawled: DataFrame, window: str = "1 hour", delay: str | N
                     "pages_extracted", "words"))
 
 
-def batch_writer(out_dir: str, min_word_count: int = 250, crawled_at=DEFAULT_CRAWLED_AT):
-    """``foreachBatch`` function writing pages, manifest and errors of a
-    micro-batch of captured pages; idempotent per ``batch_id``."""
+def parquet_sink(out_dir: str):
+    """The default sink of :func:`batch_writer`: a folder per table and batch, overwritten on a replay."""
+    def save(table: str, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{table}/batch_id={batch_id}")
+    return save
+
+
+def batch_writer(out_dir: str, min_word_count: int = 250, crawled_at=DEFAULT_CRAWLED_AT, sink=None, converter=None):
+    """``foreachBatch`` function writing pages, manifest, errors and a
+    summary of a micro-batch of captured pages; idempotent per ``batch_id``.
+
+    The extraction runs once: the pages are written first and the other tables
+    read what was written.  ``sink`` (X2) is a function (table, rows, batch id);
+    ``converter`` (X4) goes to :func:`crawled_pages`.
+    """
+    save = sink or parquet_sink(out_dir)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        ex = extract_articles(batch)
-        pages = crawled_pages(ex, min_word_count, crawled_at)
-        base = out_dir.rstrip("/")
-        pages.write.mode("overwrite").parquet(f"{base}/pages/batch_id={batch_id}")
-        manifest_rows(ex, min_word_count, crawled_at, dedup=False).write.mode("overwrite").parquet(
-            f"{base}/manifest/batch_id={batch_id}")
-        page_errors(batch).write.mode("overwrite").parquet(f"{base}/errors/batch_id={batch_id}")
+        pages = job_of_url(crawled_pages(extract_articles(capture_gate(batch)), min_word_count, crawled_at, converter=converter), "url").persist()
+        try:
+            save("pages", pages, batch_id)
+            save("manifest", pages.select(*[c for c in MANIFEST_COLUMNS if c != "status"], F.lit(MANIFEST_STATUS_OK).alias("status")), batch_id)
+            save("errors", page_errors(batch), batch_id)
+            save("summary", pages.groupBy("job_id").agg(F.count("*").alias("pages_extracted"), F.sum("word_count").alias("words")), batch_id)
+        finally:
+            pages.unpersist()
     return write
 
 
