@@ -180,12 +180,10 @@ def parse_urls(df: DataFrame, src: str, p: str) -> DataFrame:
     opaque URL), ``{p}_opaque``, ``{p}_has_query``, ``{p}_query`` (raw).
     """
     c = F.col(src)
-    g = lambda i: F.regexp_extract(c, _RFC3986_DOTALL, i)
-    df = df.withColumns({
-        f"{p}_g1": g(1), f"{p}_g2": g(2), f"{p}_g3": g(3), f"{p}_g4": g(4),
-        f"{p}_g5": g(5), f"{p}_g6": g(6), f"{p}_g7": g(7), f"{p}_g9": g(9),
-        f"{p}_prefrag": F.regexp_extract(c, r"(?s)^([^#]*)", 1),
-    })
+    # one match: the groups in one string, split again (the fragment last, as it may hold the separator)
+    groups = "\x01".join(f"${{{i}}}".replace("{", "").replace("}", "") for i in (1, 2, 3, 4, 5, 6, 7, 9))
+    df = df.withColumn(f"{p}_m", F.split(F.regexp_replace(c, _RFC3986_DOTALL, groups), "\x01", 8))
+    df = df.withColumns({f"{p}_g{i}": F.get(f"{p}_m", F.lit(k)) for k, i in enumerate((1, 2, 3, 4, 5, 6, 7, 9))})
     hs, sch, ha, auth, path = (F.col(f"{p}_g1") != ""), F.col(f"{p}_g2"), (F.col(f"{p}_g3") != ""), F.col(f"{p}_g4"), F.col(f"{p}_g5")
     # a scheme-less "///x" (or "//") is a path, not an empty authority
     no_auth = ~hs & ha & (auth == "")
@@ -204,7 +202,7 @@ def parse_urls(df: DataFrame, src: str, p: str) -> DataFrame:
     port_ok = hp.startswith("[") | ~hp.rlike(BAD_PORT)
     ok = (
         c.isNotNull()
-        & ~F.col(f"{p}_prefrag").rlike(CTL)
+        & ~c.rlike("^[^#]*" + CTL)
         & (~F.col(f"{p}_has_scheme") | sch.rlike(SCHEME_OK))
         & ~(~F.col(f"{p}_has_scheme") & ~rp.startswith("/") & first_seg.contains(":"))
         & (~F.col(f"{p}_has_auth") | (port_ok & ~hp.rlike(BAD_HOST_CHAR)))
@@ -225,7 +223,7 @@ def parse_urls(df: DataFrame, src: str, p: str) -> DataFrame:
         f"{p}_host": hostname,
         f"{p}_path": F.when(opaque, F.lit("")).otherwise(decode_path(rp)),
     })
-    return df.drop(*[f"{p}_g{i}" for i in (1, 2, 3, 4, 5, 6, 7, 9)], f"{p}_prefrag")
+    return df.drop(*[f"{p}_g{i}" for i in (1, 2, 3, 4, 5, 6, 7, 9)], f"{p}_m")
 
 
 def url_part_columns(p: str) -> list[str]:

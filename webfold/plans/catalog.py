@@ -43,9 +43,8 @@ def _pages(spark, d):
 
 
 def _prepare(spark):
-    """Session settings and checkpoint folder for the driver's own session."""
-    from webfold.session import configure_session, ensure_checkpoint_dir
-    configure_session(spark)
+    """The checkpoint folder of the caller's session; its settings stay as they are."""
+    from webfold.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
 
 

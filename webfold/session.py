@@ -40,32 +40,10 @@ def get_spark(master: str | None = None, app: str = "webfold", shuffle_partition
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    configure_session(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
-# Runtime SQL settings every plan of this library relies on.  The runtime
-# bloom-filter / semi-join injection rule traces join-key lineage through
-# every projection below a join; over the stacked URL projections that trace
-# explodes, and on computed URL keys it cannot prune anything anyway.
-RUNTIME_CONF = {
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "false",
-    "spark.sql.optimizer.runtimeFilter.semiJoinReduction.enabled": "false",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
-
-def configure_session(spark: SparkSession) -> SparkSession:
-    """Apply :data:`RUNTIME_CONF` to an existing session (idempotent)."""
-    for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-    return spark
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, read from ``spark.checkpoint.dir``.
 
