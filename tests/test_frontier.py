@@ -52,3 +52,18 @@ def test_summary_tells_errors_from_links_never_fetched(spark):
     times = spark.createDataFrame([("j", 10), ("j", 70)], "job_id string, s long").selectExpr("job_id", "timestamp_seconds(s) AS at")
     r = crawl_summary(crawl_frontier(jobs, links, fetched), ok, errors, jobs, times).first()
     assert (r.domain, r.pages_discovered, r.pages_visited, r.pages_extracted, r.pages_not_captured, r.errors, r.duration_seconds) == ("garden.test", 4, 2, 1, 2, 2, 60)
+
+
+def test_links_stand_relative_to_the_base(spark):
+    from webfold.operators.links import page_links
+    rows = [(1, "https://garden.test/a/b", "<head><base target=x href='/c/'></head><a href=d>d</a><a href='/e'>e</a>"),
+            (2, "https://garden.test/a/b", "<a href=d>d</a>"), (3, "https://garden.test/a", "<base href='https://cdn.test/k/'><a href='l'>l</a>")]
+    got = page_links(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.dst_url) for r in got) == [
+        (1, "https://garden.test/c/d"), (1, "https://garden.test/e"), (2, "https://garden.test/a/d"), (3, "https://cdn.test/k/l")]
+
+
+def test_a_job_may_name_its_seed(spark):
+    from pyspark.sql import functions as F
+    jobs, links, fetched = tables(spark, ALL)
+    assert paths(crawl_frontier(jobs.withColumn("seed_url", F.lit("https://garden.test/c")), links, fetched)) == {("/c", 1), ("/d", 2), ("/a", 3), ("/", 4), ("/blog/b", 5)}

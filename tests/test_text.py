@@ -58,3 +58,10 @@ def test_markdown_of_html(spark):
     df = spark.createDataFrame(MARKDOWN, "content_html string, want string")
     for r in to_markdown(df).collect():
         assert r.markdown == r.want, r.content_html
+
+
+def test_go_quote(spark):
+    rows = [('a "b" \\c', '"a \\"b\\" \\\\c"'), ("x\ty\n", '"x\\ty\\n"'), ("\x01\x7f", '"\\x01\\x7f"'), ("a\u00a0b\u200b", '"a\\u00a0b\\u200b"'), ("ünï 🌻", '"ünï 🌻"'),
+            ("\U000e0001", '"\\U000e0001"'), ("", '""')]
+    for s, want, have in got(spark, rows, T.go_quote):
+        assert want == have, s

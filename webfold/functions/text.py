@@ -161,13 +161,25 @@ def normalize_markdown(s: Column) -> Column:
     return F.regexp_replace(t, TRIM_WS, "")
 
 
+#: What Go's %q prints as an escape: controls, unassigned and private characters, and any space but ' '.
+NOT_PRINTABLE = r"[\p{C}\p{Zl}\p{Zp}]|[\p{Zs}&&[^ ]]"
+
+
 def go_quote(s: Column) -> Column:
-    """Go ``%q`` of a string (backslash, quote and the C escapes)."""
+    """Go ``%q`` of a string: backslash, quote, the C escapes, and other
+    characters that do not print as ``\\x..``, ``\\u....`` or ``\\U........``."""
     t = F.replace(s, F.lit("\\"), F.lit("\\\\"))
     t = F.replace(t, F.lit('"'), F.lit('\\"'))
     for ch, esc in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\x07", "\\a"),
                     ("\x08", "\\b"), ("\x0c", "\\f"), ("\x0b", "\\v")):
         t = F.replace(t, F.lit(ch), F.lit(esc))
+
+    def one(c: Column) -> Column:
+        code = F.lower(F.regexp_replace(F.hex(F.encode(c, "utf-32")), "^0+", ""))
+        escape = (F.when(F.length(code) <= 2, F.when(code < "80", F.concat(F.lit("\\x"), F.lpad(code, 2, "0"))).otherwise(F.concat(F.lit("\\u"), F.lpad(code, 4, "0"))))
+                  .when(F.length(code) <= 4, F.concat(F.lit("\\u"), F.lpad(code, 4, "0"))).otherwise(F.concat(F.lit("\\U"), F.lpad(code, 8, "0"))))
+        return F.when(c.rlike(NOT_PRINTABLE), escape).otherwise(c)
+    t = F.when(s.rlike(NOT_PRINTABLE), F.array_join(F.transform(F.split(t, ""), one), "")).otherwise(t)
     return F.concat(F.lit('"'), t, F.lit('"'))
 
 

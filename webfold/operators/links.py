@@ -17,6 +17,7 @@ from webfold.functions.urls import (allowed_domains, domain_of_host, normalize_u
 from webfold.operators.extract import preclean_html
 
 HREF_IN_A = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+BASE_HREF = r"""(?is)<base\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 # leading/trailing ASCII whitespace and C0 controls are not part of an href
 HREF_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 
@@ -28,11 +29,14 @@ def page_links(pages: DataFrame, key: str = "page_id", url_col: str = "url", htm
     ``dst_url`` the normalised absolute target; rows whose target does not
     resolve or normalise are dropped (F8) and so are same-page anchors."""
     df = pages.select(key, F.col(url_col).alias("_page_url"),
+                      T.trim_ws(T.decode_entities(T.quoted_attr_value(F.regexp_extract(html_col, BASE_HREF, 1)))).alias("_base"),
                       F.regexp_extract_all(preclean_html(F.col(html_col)), F.lit(HREF_IN_A), 1).alias("_hrefs"))
     df = normalize_urls(df, "_page_url", "src_url").drop("_page_url")
-    df = df.select(key, "src_url", F.posexplode("_hrefs").alias("position", "_raw"))
+    # links stand relative to <base href> where a page has one; an empty one resolves to the page itself
+    df = resolve_urls(df, "src_url", "_base", "_base_abs")
+    df = df.select(key, "src_url", F.coalesce("_base_abs", "src_url").alias("_from"), F.posexplode("_hrefs").alias("position", "_raw"))
     df = df.withColumn("href", F.regexp_replace(T.decode_entities(T.quoted_attr_value(F.col("_raw"))), HREF_TRIM, ""))
-    df = resolve_urls(df, "src_url", "href", "abs_url")
+    df = resolve_urls(df, "_from", "href", "abs_url")
     df = normalize_urls(df, "abs_url", "dst_url")
     return df.filter(F.col("dst_url").isNotNull() & F.col("src_url").isNotNull()).select(
         key, "src_url", F.col("position").cast("int").alias("position"), "href", "abs_url", "dst_url")
