@@ -37,6 +37,14 @@ def test_round_trip(spark):
         assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(PAGES, min_bytes)
 
 
+def test_round_trip_of_a_table(spark, tmp_path):
+    pages(spark).write.parquet(f"{tmp_path}/pages.parquet")
+    path = shared_folder(spark, "warc-test")
+    write_archives(spark.read.parquet(f"{tmp_path}/pages.parquet"), path)
+    got = read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(PAGES)
+
+
 def test_archive_is_plain_warc(spark):
     path = shared_folder(spark, "warc-test")
     write_archives(pages(spark).coalesce(1), path, date="2024-01-02T03:04:05Z")

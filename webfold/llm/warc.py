@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, sized, utf8
+from .common import cut, sized, slices, utf8
 
 RECORDS_A_FILE = 5000
 PREFIX = "urn:page:"
@@ -85,7 +85,7 @@ def record(page_id, url: str | None, html: str | None, date: str, refers_to=None
 
 def _records(date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = zip(*(c.to_pylist() for c in batch.columns))
             out = pa.array([record(i, u, h, date, to, uri, bool(is_revisit)) for i, u, h, to, uri, is_revisit in rows], pa.string())
             yield pa.RecordBatch.from_arrays([out], names=["value"])
@@ -95,10 +95,11 @@ def _records(date: str):
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str | None = None) -> None:
     """Write ``pages`` (page_id, url, html) as deduplicated archives into the new folder ``path``."""
     date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    again = sized(revisits(pages, min_bytes).withColumn("is_revisit", F.lit(True)))
-    left = pages.select("page_id", "url", "html", _digest().alias("own"))
-    joined = left.join(again, left["page_id"].eqNullSafe(again["page_id"]) & (left["own"] == again["digest"]), "left").select(
-        left["page_id"], "url", "html", "refers_to", "refers_uri", "is_revisit")
+    again = sized(revisits(pages, min_bytes).select(
+        F.col("page_id").alias("of_page"), F.col("digest").alias("of_digest"), "refers_to", "refers_uri", F.lit(True).alias("is_revisit")))
+    joined = (pages.select("page_id", "url", "html", _digest().alias("own"))
+              .join(again, F.col("page_id").eqNullSafe(F.col("of_page")) & (F.col("own") == F.col("of_digest")), "left")
+              .select("page_id", "url", "html", "refers_to", "refers_uri", "is_revisit"))
     (joined.mapInArrow(_records(date), "value string").write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", RECORDS_A_FILE).text(path))
 
