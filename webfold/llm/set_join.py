@@ -44,14 +44,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, group_sum, sized
+from .common import cut, group_sum, shared_folder, sized, slices
 from .graph import components
 from .shingles import shingles
 
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89], np.uint64)  # any four
-BLOCK_NODES, BLOCK_TOKENS = 48, 4_000_000
+BLOCK_NODES, BLOCK_TOKENS = 48, 1_000_000
 MAX_FREQUENT, LEAST_FREQUENT = 1 << 17, 8
-_SUMMARY, _CHUNK = 1 << 14, 2_000_000
+_SUMMARY, _CHUNK = 1 << 14, 1_000_000
 
 
 def prefix_length(n: int) -> int:
@@ -105,7 +105,7 @@ def _attach(docs: DataFrame, info: DataFrame, id_col: str, text_col: str) -> Dat
 
 
 def _block_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = [[], [], []]
         for text, node, digest, blocks in zip(*(c.to_pylist() for c in batch.columns)):
             s = shingles(text)
@@ -153,7 +153,7 @@ def _link_block(table: pa.Table) -> pa.Table:
 def _prefixes(frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, level = frequent.value
-        for batch in batches:
+        for batch in slices(batches):
             parts, info = [], []
             for text, node, digest, group, n in zip(*(c.to_pylist() for c in batch.columns)):
                 s = shingles(text)
@@ -175,13 +175,13 @@ def _prefixes(frequent):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = [(node, s.tobytes()) for text, node, digest in zip(*(c.to_pylist() for c in batch.columns)) if set_digest(s := shingles(text)) == digest]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "set"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         keep = []
         for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
@@ -213,7 +213,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         ids = []
 
         def texts():
-            for b in batches:
+            for b in slices(batches):
                 ids.append((b.column(1), b.column(3)))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2)], names=["row", "text"])
         for out in _profiles(texts()):
@@ -248,11 +248,14 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 .orderBy(F.desc("c"), "tokens").limit(MAX_FREQUENT).collect())
     hot = sorted((r.tokens, int(r.c).bit_length()) for r in frequent)
     sent = spark.sparkContext.broadcast((np.array([t for t, _ in hot], np.int64), np.array([c for _, c in hot], np.int64)))
-    prefix = (_attach(docs, located, id_col, text_col).mapInArrow(_prefixes(sent), "token bigint, node bigint, grp bigint, n bigint")
-              .repartition("token"))
-    matrix = prefix.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    # written once, so that both sides of the join below read one table and share one exchange
+    path = shared_folder(spark, "prefixes")
+    _attach(docs, located, id_col, text_col).mapInArrow(_prefixes(sent), "token bigint, node bigint, grp bigint, n bigint").write.parquet(path)
+    prefix = spark.read.parquet(path).repartition("token")
+    # "any" keeps this side's columns those of the query side
+    matrix = prefix.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("node").alias("any"))
     q = prefix.select("token", "node", F.col("grp").alias("own"), "n")
-    shared = (q.join(matrix, (q["token"] == matrix["token"]) & (q["own"] > matrix["grp"])
+    shared = (q.join(matrix, (q["token"] == matrix["token"]) & (q["own"] > matrix["grp"]) & (q["node"] != matrix["any"])
                      & (100 * matrix["high"] >= 80 * q["n"]) & (80 * matrix["low"] <= 100 * q["n"]))
               .groupBy("node", "grp").agg(F.count("*").alias("x"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"),
                                           F.min("low").alias("least"), F.max("high").alias("most"), F.first("own").alias("own")))
