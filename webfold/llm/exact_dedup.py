@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -62,33 +62,50 @@ def heavy_digests(digested: DataFrame, rows: int, counters: int = COUNTERS) -> D
             .groupBy("digest").agg(F.count("*").alias("size"), F.max(F.struct("doc_id", "row")).alias("last")))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """A row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+def _digested(docs: DataFrame, id_col: str, text_col: str, counters: int) -> tuple[DataFrame, DataFrame]:
+    """The narrow digest table, and its heavy digests."""
     digested = cut(docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest"),
-        F.monotonically_increasing_id().alias("row")))
-    heavy = cut(heavy_digests(digested, digested.count(), counters))
-    marked = digested.join(F.broadcast(heavy), "digest", "left")
+        F.col(id_col).alias("doc_id"), _digest(F.col(text_col)).alias("digest"), F.monotonically_increasing_id().alias("row")))
+    return digested, cut(heavy_digests(digested, digested.count(), counters))
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def _light_winners(digested: DataFrame, heavy: DataFrame) -> DataFrame:
+    """The rows of digests that are not heavy, with group size and winner."""
     same = Window.partitionBy("digest")
-    light = (marked.where(F.col("size").isNull()).select("doc_id", "digest", "row")
-             .withColumn("size", F.count("*").over(same))
-             .withColumn("last", F.max(F.struct("doc_id", "row")).over(same)))
+    return (digested.join(F.broadcast(heavy), "digest", "left_anti")
+            .withColumn("size", F.count("*").over(same))
+            .withColumn("last", F.max(F.struct("doc_id", "row")).over(same)))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+    """A row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+    digested, heavy = _digested(docs, id_col, text_col, counters)
     columns = [
         F.col("doc_id"), F.col("last.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("row") == F.col("last.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")]
-    return marked.where(F.col("size").isNotNull()).select(*columns).unionByName(light.select(*columns))
+    return digested.join(F.broadcast(heavy), "digest").select(*columns).unionByName(_light_winners(digested, heavy).select(*columns))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns.
 
-    The decisions join back by id and digest; one of several rows with one id
-    and one text stays.
+    Copies of heavy texts go where they lie, by the broadcast winners.  The rest
+    is shuffled once, by digest, and joined to the winner of its text; one of
+    several rows with that id and text stays.
     """
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("keep"), F.col("text_sha256").alias("of"))
-    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), docs[id_col].alias("id"),
-                        F.sha2(F.coalesce(docs[text_col], F.lit("")), 256).alias("sha"))
-    joined = named.join(kept, (F.col("sha") == F.col("of")) & F.col("id").eqNullSafe(F.col("keep")), "left_semi")
-    one = Window.partitionBy("sha", "id").orderBy(F.lit(1))
+    digested, heavy = _digested(docs, id_col, text_col, counters)
+    winner = F.col("last.doc_id").alias("keep")
+    kept = (heavy.select("digest", winner).unionByName(
+        _light_winners(digested, heavy).where("row = last.row").select("digest", winner))).withColumnRenamed("digest", "of")
+    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), docs[id_col].alias("id"), _digest(docs[text_col]).alias("digest"))
+    left = (named.join(F.broadcast(heavy.select("digest", winner, F.lit(True).alias("heavy"))), "digest", "left")
+            .where(F.col("heavy").isNull() | F.col("id").eqNullSafe(F.col("keep"))).select("whole", "id", "digest"))
+    # the ids' equality is no join key, so that the one exchange is by digest
+    is_winner = (F.col("id") == F.col("keep")) | (F.col("id").isNull() & F.col("keep").isNull())
+    joined = left.join(kept, (F.col("digest") == F.col("of")) & is_winner, "left_semi")
+    one = Window.partitionBy("digest").orderBy(F.lit(1))
     return joined.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("whole.*")
