@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, cut, utf8, words
+from .common import WORD_BYTES, cut, slices, utf8, words
 
 WIDTH = 10
 BLOCK = 60_000
@@ -39,7 +39,7 @@ BLOCK = 60_000
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """(win, ids): each distinct window and the sorted ids of the items that hold it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, wins = [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 w = words(text)
@@ -102,7 +102,7 @@ def _scanner(windows, last: bool):
         if not state:
             state["a"] = automaton([w for w, _ in windows.value])
         ids = windows.value
-        for batch in batches:
+        for batch in slices(batches):
             counts, hits, items = [], [], []
             texts = batch.column(1).to_pylist()
             for text, hit0, items0 in zip(texts, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
@@ -168,7 +168,7 @@ def _clean_only(windows, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             state["a"] = automaton(windows.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([not scan(t, state["a"])[2] for t in batch.column(at).to_pylist()], pa.bool_()))
     return run
 

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import slices
 from .dom import Tree, attributes, read
 
 TRAINING_PAGES = 360
@@ -323,11 +324,9 @@ def extract_text(pages: DataFrame, weights: tuple[np.ndarray, np.ndarray] | None
     sent = pages.sparkSession.sparkContext.broadcast(weights or train(labelled_pages()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                texts = extract(part.column(2).to_pylist(), sent.value, threshold)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                                                 names=["page_id", "url", "text", "n_chars"])
+        for part in slices(batches, rows=256):
+            texts = extract(part.column(2).to_pylist(), sent.value, threshold)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                                             names=["page_id", "url", "text", "n_chars"])
     kind = pages.schema["page_id"].dataType.simpleString()
     return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")

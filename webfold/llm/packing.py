@@ -35,7 +35,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -79,7 +79,7 @@ def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             at, piece, start, length, crc = [], [], [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
                 ids = token_ids(enc, text, end_id).astype("<u4")
@@ -222,7 +222,7 @@ def slots(plan: list[tuple[np.ndarray, int]], capacity: int = CAPACITY) -> dict[
 
 def _placed(places):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             table = pa.Table.from_batches([batch])
             length, rank = table["length"].to_numpy(), table["rank"].to_numpy()
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, slices
 from .toxicity import held_out
 
 ROUNDS = 4
@@ -186,7 +186,7 @@ def train(features: DataFrame, labels: DataFrame, label_col: str = "quality", pe
 def text_statistics(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, n_chars and the text's statistics."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             stats = pa.array([text_features(t) for t in batch.column(4).to_pylist()], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], stats], names=["doc_id", "lang", "source", "n_chars", "stats"])
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -200,7 +200,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **traini
     model = docs.sparkSession.sparkContext.broadcast(train(features, labels, **training))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, held, lang, source, n_chars, stats = batch.columns
             text = np.array(stats.to_pylist(), float).reshape(batch.num_rows, TEXT_FEATURES)
             scores = model.value.score(text, meta_features(lang.to_pylist(), source.to_pylist(), n_chars.to_pylist()))

@@ -13,7 +13,7 @@ import numpy as np
 WIDTH = 5
 _BASE = 0x9E3779B97F4A7C15 | 1  # odd, so invertible modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_STEP = 1 << 20  # bytes hashed at a time, so a very long text needs bounded scratch
+_STEP = 1 << 18  # bytes hashed at a time, so a very long text needs bounded scratch
 
 _power = _inverse = np.ones(1, np.uint64)
 

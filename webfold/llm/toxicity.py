@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, words
+from .common import cut, slices, words
 from .shingles import mix, runs
 
 BITS = 24
@@ -95,7 +95,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = [np.unique(features(t)).astype(np.int32) for t in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["label", "shard", "at"])
 
@@ -104,12 +104,15 @@ _SLICE = 1 << 16  # buckets whose counts travel as one row
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << BITS, np.uint32)
-    for batch in batches:
+    total, seen = np.zeros(1 << BITS, np.uint16), 0
+    for batch in slices(batches):
         at, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
-        total[at] += n.astype(np.uint32)
+        seen += batch.num_rows
+        if seen >= 1 << 16 and total.dtype == np.uint16:
+            total = total.astype(np.uint32)
+        total[at] += n.astype(total.dtype)
     for k in range(0, len(total), _SLICE):
-        yield pa.RecordBatch.from_pydict({"slice": pa.array([k // _SLICE], pa.int32()), "counts": pa.array([total[k:k + _SLICE].tobytes()], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"slice": pa.array([k // _SLICE], pa.int32()), "counts": pa.array([total[k:k + _SLICE].astype(np.uint32).tobytes()], pa.binary())})
 
 
 def _summed(min_docs: int):
@@ -136,7 +139,7 @@ def _epoch(state, ftrl: Ftrl, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, z, n = (x.copy() for x in state.value)
         rows = []
-        for batch in batches:
+        for batch in slices(batches):
             for label, f in zip(batch.column(0).to_pylist(), batch.column(2)):
                 f = f.values.to_numpy(zero_copy_only=False)
                 at = np.searchsorted(buckets, f)
@@ -183,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
 
 def _scorer(model, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores = pa.array([model.value.score(t) for t in batch.column(at).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1:], scores], names=[*batch.schema.names[:at], *batch.schema.names[at + 1:], "score"])
     return run
@@ -204,6 +207,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([model.value.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
