@@ -73,6 +73,36 @@ def test_no_link_depends_on_the_grouping_step(spark, monkeypatch):
     assert rows(got, "doc_id", "n_shingles", "component_id") == brute(cases)
 
 
+def passage_of_a_group():
+    """q links with s alone, by exactly 0.8, and shares one prefix token with the group of s and t; no min-hash pair brings q to them."""
+    r = random.Random(5)
+    while True:
+        word = lambda: "".join(r.choices("abcdefghij", k=6))
+        passage = [word() for _ in range(84)]
+        s = passage + [word() for _ in range(19)]
+        q, t = passage + [word()], s + [word()]
+        kq, ks, kt = (set(enumerate(set_join._keys(shingles(" ".join(x))))) for x in (q, s, t))
+        if ks & kt and not kq & (ks | kt):
+            others = [[word() for _ in range(90)] + passage + [word() for _ in range(60)] for _ in range(12)]
+            return [(100 + k, " ".join(x)) for k, x in enumerate([q, s, t, *others])]
+
+
+def test_a_group_opens_for_a_member_below_its_largest(spark):
+    """Sets of 81, 99 and 100 tokens: the bound holds at 99, but not at 100."""
+    cases = passage_of_a_group()
+    assert [len(text_set(x)) for _, x in cases[:3]] == [81, 99, 100]
+    assert [c for _, _, c in brute(cases)][:3] == [100, 100, 100]
+    got = near_duplicates(documents(spark, cases))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == brute(cases)
+
+
+def test_no_size_above_the_query_has_a_better_bound_than_the_two_largest():
+    bound = lambda x, q, s: 9 * (x + -(-80 * s // 100) - 1) - 4 * (q + s)
+    for q in range(1, 200):
+        for largest in range(q + 1, q * 100 // 80 + 1):
+            assert max(bound(1, q, s) for s in range(q, largest + 1)) == max(bound(1, q, largest), bound(1, q, largest - 1))
+
+
 def test_the_smallest_id_of_a_class_stays(spark):
     cases = corpus(3)
     docs = documents(spark, cases, clashing=True)

@@ -262,7 +262,9 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     n = F.col("n")
     smallest = F.greatest(F.col("least"), F.ceil(n * 80 / 100))
     largest = F.least(F.col("most"), F.floor(n * 100 / 80))
-    opened = shared.where(_may_link(F.col("x"), n, F.least(smallest, n)) | _may_link(F.col("x"), n, F.greatest(largest, n))).select("node", "own", "n", "grp")
+    # below n the bound is best at the smallest size; above, it rises by 5 but falls by 4 from 5k-1 to 5k, so it is best at the largest or one less
+    opened = shared.where(_may_link(F.col("x"), n, F.least(smallest, n)) | _may_link(F.col("x"), n, F.greatest(largest, n))
+                          | _may_link(F.col("x"), n, F.greatest(largest - 1, n))).select("node", "own", "n", "grp")
     inside = located.select(F.col("node").alias("other"), F.col("n").alias("m"), "grp")
     pairs = cut(opened.join(inside, "grp").where((100 * F.col("m") >= 80 * n) & (80 * F.col("m") <= 100 * n)).select("node", "own", "other", "grp"))
 
