@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from webfold.llm import packing
@@ -59,6 +60,15 @@ def test_ids_are_those_of_the_tokenizer_file(text):
     assert token_ids(encoder(PATH), text).tolist() == reference_ids(text)
 
 
+def test_a_document_of_two_million_blanks(spark):
+    """The faster library's pattern gives up on such a run."""
+    for text in (" " * 2_000_000, "some words" + "\n \t" * 700_000 + "<|endoftext|>  more of them"):
+        assert token_ids(encoder(PATH), text).tolist() == reference_ids(text)
+    got = pack(documents(spark, [(1, "a b"), (2, "x" + " " * 2_000_000 + "y"), (3, "c")]), PATH)
+    want = {1: len(reference_ids("a b")), 2: len(reference_ids("x" + " " * 2_000_000 + "y")), 3: len(reference_ids("c"))}
+    assert {r.doc_id: r.n for r in got.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 40), min_size=20, max_size=20), st.integers(1, 50))
 def test_any_histogram_is_packed_whole(counts, rounds):

@@ -34,6 +34,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import cut, slices
 
@@ -60,14 +61,23 @@ def encoder(path: str) -> tiktoken.Encoding:
     byte = _byte_alphabet()
     special = {t["content"]: t["id"] for t in file.get("added_tokens", [])}
     ranks = {bytes(byte[c] for c in w): i for w, i in file["model"]["vocab"].items() if w not in special}
-    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+@lru_cache(maxsize=2)
+def tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
 
 
 def token_ids(enc: tiktoken.Encoding, text: str | None, end_id: int = END_ID) -> np.ndarray:
     """uint32 ids of the text, then the end id; special tokens written out in the text count as themselves."""
     if not text:
         return np.array([end_id], np.uint32)
-    return np.append(enc.encode_to_numpy(text, allowed_special="all"), np.uint32(end_id))
+    try:
+        ids = enc.encode_to_numpy(text, allowed_special="all")
+    except ValueError:  # its pattern's stack ends at a run of about a million white-space characters; ``tokenizers`` has no such limit
+        ids = np.array(tokenizer(enc.name).encode(text, add_special_tokens=False).ids, np.uint32)
+    return np.append(ids, np.uint32(end_id))
 
 
 def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
