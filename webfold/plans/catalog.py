@@ -618,18 +618,24 @@ def _stream_out(spark, df, name, mode="append"):
     return spark.read.parquet(sink)
 
 
+def _page_stream(spark, d):
+    """The table as a stream, be it one file or a folder of part files: by a pattern, since Spark takes a plain path for a folder."""
+    _pages(spark, d)  # no table is an error here; a pattern without matches is none
+    return ST.read_page_stream(spark, f"{d}/pages.parque[t]", max_files_per_trigger=1)
+
+
 @register("stream_manifest", _long_chain().step(
     "SELECT page_id, norm_url, canonical_url, title, word_count, sha256(text_content) AS content_hash FROM {prev}").sql(
     "SELECT norm_url AS url, canonical_url, title, word_count, content_hash FROM {prev}"))
 def q_stream_manifest(spark, d):
-    stream = ST.read_page_stream(spark, d, glob="pages.parquet", max_files_per_trigger=1)
+    stream = _page_stream(spark, d)
     out = _stream_out(spark, ST.stream_manifest(stream, MIN_WORDS), "manifest")
     return out.select("url", "canonical_url", "title", "word_count", "content_hash")
 
 
 def _timed_pages(spark, d):
     """The page stream with an event time: a minute per page id (the corpus records none)."""
-    stream = ST.read_page_stream(spark, d, glob="pages.parquet", max_files_per_trigger=1)
+    stream = _page_stream(spark, d)
     ex = E.extract_articles(stream)
     at = F.lit(P.DEFAULT_CRAWLED_AT).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("page_id"))
     return ST.job_of_url(P.crawled_pages(ex, MIN_WORDS, crawled_at=at), "url")
@@ -639,8 +645,10 @@ _STREAM_COLS = ["job_id", "url", "crawled_at", "word_count"]
 
 
 def _deduped(spark, d):
-    pages = _timed_pages(spark, d).select(*_STREAM_COLS)
-    return _stream_out(spark, ST.dedup_urls_within_watermark(pages, "10 minutes"), "dedup")
+    """T4 over a table of any number of files: event times follow page ids, not the files' order, so no watermark may call a row late."""
+    out = scratch_path(spark, f"stream/dedup-{_uuid.uuid4().hex[:12]}")
+    ST.run_updates(ST.first_of_keys(_timed_pages(spark, d).select(*_STREAM_COLS)), f"{out}/out", f"{out}/checkpoint")
+    return ST.latest(spark, f"{out}/out", ["job_id", "url"])
 
 
 def _timed_chain() -> O.Chain:
@@ -663,7 +671,7 @@ def q_stream_counters(spark, d):
     """T4 then T6 as two streams: deduplicated pages, and their counters per job and hour."""
     run = _uuid.uuid4().hex[:12]
     pages, counts = scratch_path(spark, f"stream/pages-{run}"), scratch_path(spark, f"stream/counts-{run}")
-    ST.run_available_now(ST.dedup_urls_within_watermark(_timed_pages(spark, d).select(*_STREAM_COLS), "10 minutes"), f"{pages}/out", f"{pages}/checkpoint")
-    stream = spark.readStream.schema("job_id string, url string, crawled_at timestamp, word_count int").parquet(f"{pages}/out")
-    ST.run_updates(ST.windowed_counters(stream), f"{counts}/out", f"{counts}/checkpoint")
+    _deduped(spark, d).select(*_STREAM_COLS).write.parquet(pages)
+    stream = spark.readStream.schema("job_id string, url string, crawled_at timestamp, word_count int").parquet(pages)
+    ST.run_updates(ST.windowed_counters(stream, delay=None), f"{counts}/out", f"{counts}/checkpoint")
     return ST.latest(spark, f"{counts}/out", ["job_id", "window_start", "window_end"])

@@ -31,7 +31,7 @@ from webfold.functions.urls import domain_of_host, parse_urls
 def read_page_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema: str = PAGES_SCHEMA,
                      max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
     """Captured pages as a stream (fixed schema, no inference).  ``path``
-    is a folder; ``glob`` picks files in it (e.g. ``pages*.parquet``)."""
+    is a folder, or a pattern of folders and files; ``glob`` picks files in it (e.g. ``pages*.parquet``)."""
     r = spark.readStream.format(fmt).schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -55,6 +55,16 @@ def dedup_urls_within_watermark(df: DataFrame, delay: str | None = "1 hour", ts:
     return df.dropDuplicatesWithinWatermark(list(keys))
 
 
+def first_of_keys(df: DataFrame, ts: str = "crawled_at", keys: tuple[str, ...] = ("job_id", "url")) -> DataFrame:
+    """T4 without a horizon: the row of the earliest event time of each key, in
+    whatever order rows arrive (update mode: :func:`run_updates`, then
+    :func:`latest`).  Its state is a row per key; no row is late.  Rows without
+    a time count only where a key has no other."""
+    rest = [c for c in df.columns if c not in (*keys, ts)]
+    first = F.min(F.struct(F.col(ts).isNull().alias("untimed"), ts, *rest)).alias("first")
+    return df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"first.{c}").alias(c) for c in (ts, *rest)])
+
+
 def dedup_content_within_watermark(df: DataFrame, delay: str = "1 hour", ts: str = "crawled_at") -> DataFrame:
     """T5: drop a content hash already seen within the watermark delay."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["content_hash"])
