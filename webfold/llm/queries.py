@@ -10,12 +10,15 @@ from .common import shared_folder, table
 from .decontaminate import leak_report
 from .exact_dedup import exact_dedup
 from .html_extraction import extract_text
+from .language_id import languages
 from .line_dedup import dedup_lines
 from .packing import pack
+from .periodic_runs import run_report, with_planted_periods
 from .quality import quality
 from .set_join import near_duplicates
 from .tool_calls import QUERY_SCHEMAS, as_tool_messages, link_calls
 from .toxicity import toxicity
+from .vector_codes import vector_codes
 from .warc import read_archives, write_archives
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +68,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(with_planted_periods(table(spark, sf_dir, "documents")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -76,12 +91,77 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_language_id": op11_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER.format('coalesce(text, chr(32))')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: crc32 of the decimal id, bit by bit: DuckDB has no function for it.
+_CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(ascii(c) AS BIGINT) for c in string_split(CAST(doc_id AS VARCHAR), '')]),
+       lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, _: xor(z >> 1, 3988292384 * (z & 1)))))"""
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """Assignment by inner products (whole numbers in doubles, so exact), a pair of tables a round."""
+    distance = "list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)"
+    steps = [f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label, [floor({scale} * CAST(x AS DOUBLE)) for x in embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS (SELECT r, vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) t(p)),
+book0 AS (SELECT p, r AS e, x AS c FROM parts WHERE r < {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS (
+  SELECT r, vec_id, label, p, any_value(x) AS x, min((d, e)) AS best
+  FROM (SELECT parts.*, e, {distance} AS d FROM parts JOIN book{k} USING (p)) GROUP BY r, vec_id, label, p)""")
+        if k < rounds:
+            steps.append(f"""means{k} AS (
+  SELECT p, e, list(m ORDER BY i) AS c
+  FROM (SELECT p, best.e AS e, i, floor(sum(x[i]) / count(*)) AS m FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY ALL)
+  GROUP BY p, e),
+book{k + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN means{k} m USING (p, e))""")
+    steps.append(f"""coded AS (
+  SELECT r, vec_id, label, string_agg(format('{{:02x}}', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY r, vec_id, label),
+digest AS (SELECT sha256(string_agg(array_to_string([CAST(CAST(y AS BIGINT) AS VARCHAR) for y in c], ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})""")
+    return ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, digest"""
+
+
 ORACLE = {
+    "op12_periodic_runs": rf"""
+WITH docs AS (
+  SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sized AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g, CASE WHEN len(w) > 0 THEN h // 10 % len(w) END AS a FROM docs),
+words AS (
+  SELECT doc_id, i, n, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] AS word
+  FROM (SELECT *, unnest(range(0, n)) AS i FROM sized)),
+-- a run of four periods q holds four multiples of q in a row, with equal words
+places AS (SELECT doc_id, n, q, unnest(range(0, n - 3 * q, q)) AS i FROM (SELECT doc_id, n, unnest(range(1, n // 4 + 1)) AS q FROM sized)),
+hopeful AS (
+  SELECT DISTINCT s.doc_id, s.n, s.q FROM places s JOIN words a ON a.doc_id = s.doc_id AND a.i = s.i
+  JOIN words b ON b.doc_id = s.doc_id AND b.i = s.i + s.q AND b.word = a.word
+  JOIN words c ON c.doc_id = s.doc_id AND c.i = s.i + 2 * s.q AND c.word = a.word
+  JOIN words d ON d.doc_id = s.doc_id AND d.i = s.i + 3 * s.q AND d.word = a.word),
+breaks AS (
+  SELECT h.doc_id, h.q, a.i FROM hopeful h JOIN words a ON a.doc_id = h.doc_id JOIN words b ON b.doc_id = h.doc_id AND b.i = a.i + h.q WHERE a.word <> b.word
+  UNION ALL SELECT doc_id, q, -1 FROM hopeful UNION ALL SELECT doc_id, q, n - q FROM hopeful),
+stretches AS (SELECT doc_id, q, i + 1 AS start, lead(i) OVER (PARTITION BY doc_id, q ORDER BY i) - i - 1 + q AS length FROM breaks),
+long AS (SELECT doc_id, start, length, q AS period FROM stretches WHERE length >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM long r WHERE NOT EXISTS (
+  SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.period < r.period AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+reports AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max((start, length, period), (length / period, -start, -period)) AS best,
+         sha256(string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period)) AS runs_sha256
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY i)) AS collapsed_sha256 FROM words w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS length, best[3] AS period, 1000 * best[2] // best[3] AS exponent_milli,
+       coalesce(runs_sha256, sha256('')) AS runs_sha256, coalesce(collapsed_sha256, sha256('')) AS collapsed_sha256
+FROM docs d LEFT JOIN reports USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_vector_codes": _codes_sql(),
     "op1_decontamination": rf"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
 wins AS (
