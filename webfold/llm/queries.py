@@ -115,16 +115,16 @@ parts AS (SELECT r, vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(
 book0 AS (SELECT p, r AS e, x AS c FROM parts WHERE r < {entries})"""]
     for k in range(rounds + 1):
         steps.append(f"""near{k} AS (
-  SELECT r, vec_id, label, p, any_value(x) AS x, min((d, e)) AS best
+  SELECT r, vec_id, label, p, any_value(x) AS x, arg_min(e, (d, e)) AS e, min(d) AS d
   FROM (SELECT parts.*, e, {distance} AS d FROM parts JOIN book{k} USING (p)) GROUP BY r, vec_id, label, p)""")
         if k < rounds:
             steps.append(f"""means{k} AS (
   SELECT p, e, list(m ORDER BY i) AS c
-  FROM (SELECT p, best.e AS e, i, floor(sum(x[i]) / count(*)) AS m FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY ALL)
+  FROM (SELECT p, e, i, floor(sum(y) / count(*)) AS m FROM (SELECT p, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM near{k}) GROUP BY p, e, i)
   GROUP BY p, e),
 book{k + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN means{k} m USING (p, e))""")
     steps.append(f"""coded AS (
-  SELECT r, vec_id, label, string_agg(format('{{:02x}}', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY r, vec_id, label),
+  SELECT r, vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY r, vec_id, label),
 digest AS (SELECT sha256(string_agg(array_to_string([CAST(CAST(y AS BIGINT) AS VARCHAR) for y in c], ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})""")
     return ",\n".join(steps) + """
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, digest"""
@@ -134,23 +134,26 @@ ORACLE = {
     "op12_periodic_runs": rf"""
 WITH docs AS (
   SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-sized AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g, CASE WHEN len(w) > 0 THEN h // 10 % len(w) END AS a FROM docs),
-words AS (
-  SELECT doc_id, i, n, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] AS word
-  FROM (SELECT *, unnest(range(0, n)) AS i FROM sized)),
+sized AS MATERIALIZED (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g, CASE WHEN len(w) > 0 THEN h // 10 % len(w) END AS a FROM docs),
+sizes AS MATERIALIZED (SELECT doc_id, n, planted, g, a FROM sized),
+raw AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM sized),
+words AS MATERIALIZED (
+  SELECT p.doc_id, p.i, r.word
+  FROM (SELECT raw.doc_id, i, CASE WHEN planted AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END AS j FROM raw JOIN sizes USING (doc_id)) p
+  JOIN raw r ON r.doc_id = p.doc_id AND r.i = p.j),
 -- a run of four periods q holds four multiples of q in a row, with equal words
-places AS (SELECT doc_id, n, q, unnest(range(0, n - 3 * q, q)) AS i FROM (SELECT doc_id, n, unnest(range(1, n // 4 + 1)) AS q FROM sized)),
-hopeful AS (
-  SELECT DISTINCT s.doc_id, s.n, s.q FROM places s JOIN words a ON a.doc_id = s.doc_id AND a.i = s.i
-  JOIN words b ON b.doc_id = s.doc_id AND b.i = s.i + s.q AND b.word = a.word
-  JOIN words c ON c.doc_id = s.doc_id AND c.i = s.i + 2 * s.q AND c.word = a.word
-  JOIN words d ON d.doc_id = s.doc_id AND d.i = s.i + 3 * s.q AND d.word = a.word),
+places AS (SELECT doc_id, n, q, unnest(range(0, n - 3 * q, q)) AS i FROM (SELECT doc_id, n, unnest(range(1, n // 4 + 1)) AS q FROM sizes)),
+first AS MATERIALIZED (SELECT s.*, word FROM places s JOIN words USING (doc_id, i)),
+second AS MATERIALIZED (SELECT s.* FROM first s JOIN words b ON b.doc_id = s.doc_id AND b.i = s.i + s.q AND b.word = s.word),
+third AS MATERIALIZED (SELECT s.* FROM second s JOIN words b ON b.doc_id = s.doc_id AND b.i = s.i + 2 * s.q AND b.word = s.word),
+hopeful AS MATERIALIZED (SELECT DISTINCT s.doc_id, n, q FROM third s JOIN words b ON b.doc_id = s.doc_id AND b.i = s.i + 3 * s.q AND b.word = s.word),
+pairs AS MATERIALIZED (SELECT h.doc_id, h.q, a.i, a.word FROM hopeful h JOIN words a USING (doc_id)),
 breaks AS (
-  SELECT h.doc_id, h.q, a.i FROM hopeful h JOIN words a ON a.doc_id = h.doc_id JOIN words b ON b.doc_id = h.doc_id AND b.i = a.i + h.q WHERE a.word <> b.word
+  SELECT a.doc_id, a.q, a.i FROM pairs a JOIN words b ON b.doc_id = a.doc_id AND b.i = a.i + a.q WHERE a.word <> b.word
   UNION ALL SELECT doc_id, q, -1 FROM hopeful UNION ALL SELECT doc_id, q, n - q FROM hopeful),
 stretches AS (SELECT doc_id, q, i + 1 AS start, lead(i) OVER (PARTITION BY doc_id, q ORDER BY i) - i - 1 + q AS length FROM breaks),
 long AS (SELECT doc_id, start, length, q AS period FROM stretches WHERE length >= greatest(6, 4 * q)),
-runs AS (SELECT * FROM long r WHERE NOT EXISTS (
+runs AS MATERIALIZED (SELECT * FROM long r WHERE NOT EXISTS (
   SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.period < r.period AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
 reports AS (
   SELECT doc_id, count(*) AS n_runs, arg_max((start, length, period), (length / period, -start, -period)) AS best,
