@@ -1,83 +1,192 @@
-"""HTML → Markdown as an ordered list of regex rewrites (E2), plus front matter.
+"""HTML to Markdown by a walk over the elements of a page.
 
-The rewrite runs on the cleaned article container, so it never sees scripts,
-styles, navigation or footers.  It is a rule set of its own, not a DOM
-converter: paired inline tags become Markdown marks, block tags become blank
-lines, every other tag is dropped, entities are decoded and the result goes
-through :func:`webfold.functions.text.normalize_markdown`.
-
-Rules are data (pattern, replacement with ``$n`` groups) so the DuckDB oracle
-applies the same list.
+Blocks are written as they close, each line behind the marks of what is open
+around it: quotes, and list items with their indentation.  Links and images are
+made absolute; links without text or without a target that can be followed lose
+their mark, not their text.  Code keeps its white space; a table is written row by
+row, its first row as the head.  A mark that is never closed, or that holds a block, marks nothing.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from webfold.functions.dom import BLOCKS, Page, decode
+
+MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`"}
+SPACES = re.compile("[\t\n\x0b\f\r \x85\xa0  -     　]+")
+NOT_FOLLOWED = re.compile(r"(?i)^\s*(?:javascript|data|vbscript):")
+
+
+def absolute(base: str | None, target: str) -> str:
+    """The link as seen from ``base``; empty if it can't be followed."""
+    if not target or NOT_FOLLOWED.match(target):
+        return ""
+    try:
+        out = urljoin(base or "", target)
+    except ValueError:
+        return ""
+    return out.replace(" ", "%20").replace("(", "%28").replace(")", "%29")
+
+
+class _Prefix:
+    """What stands before the lines of a quote or item: ``first`` once, then ``rest``."""
+
+    def __init__(self, first: str, rest: str, item: bool = False):
+        self.first, self.rest, self.item, self.used = first, rest, item, False
+
+
+class _Writer:
+    def __init__(self, base: str | None):
+        self.base = base
+        self.lines: list[str] = []
+        self.prefixes: list[_Prefix] = []
+        self.lists: list[list] = []  # [tag, number of the last item]
+        self.inline: list[list] = [[None, "", []]]  # element, target, parts
+        self.heading = 0
+        self.pre = 0
+        self.row: list[str] | None = None
+        self.rows = 0
+
+    def text(self, s: str) -> None:
+        s = decode(s)
+        self.inline[-1][2].append(s if self.pre else SPACES.sub(" ", s))
+
+    def _taken(self) -> str:
+        """What was gathered; marks still open then hold a block, so they are forgotten."""
+        out = "".join(part for frame in self.inline for part in frame[2])
+        self.inline = [[None, "", []]]
+        return out
+
+    def put(self, lines: list[str]) -> None:
+        begins_item = any(p.item and not p.used for p in self.prefixes)
+        tight = begins_item and (len(self.lists) > 1 or self.lists and self.lists[-1][1] > 1)
+        if self.lines and not tight and not (self.rows > 1):
+            self.lines.append("".join(p.rest for p in self.prefixes if p.used).rstrip())
+        for line in lines:
+            lead = ""
+            for p in self.prefixes:
+                lead += p.rest if p.used else p.first
+                p.used = True
+            self.lines.append((lead + line).rstrip() if not self.pre else lead + line)
+
+    def flush(self) -> None:
+        """End the block: what was gathered becomes its lines."""
+        if self.row is not None:
+            return
+        s = self._taken()
+        if self.pre:
+            return
+        lines = [line for line in (SPACES.sub(" ", x).strip() for x in s.split("\n")) if line]
+        if not lines:
+            return
+        if self.heading:
+            lines = ["#" * self.heading + " " + " ".join(lines)]
+        if any(not p.item for p in self.prefixes):  # a line break in a quote is a paragraph
+            for line in lines:
+                self.put([line])
+        else:
+            self.put(lines)
+
+    def open(self, e) -> None:
+        tag = e.tag
+        if tag == "br":
+            self.inline[-1][2].append("\n" if self.row is None else " ")
+        elif tag == "img":
+            if source := absolute(self.base, e.attribute("src")):
+                self.inline[-1][2].append(f"![{SPACES.sub(' ', e.attribute('alt'))}]({source})")
+        elif tag == "hr":
+            self.flush()
+            self.put(["* * *"])
+        elif (tag in MARKS or tag == "a") and not self.pre:
+            self.inline.append([e, absolute(self.base, e.attribute("href")) if tag == "a" else "", []])
+        elif tag in ("td", "th") and self.row is not None:
+            self._taken()
+        elif tag in BLOCKS:
+            self.flush()
+            if tag in ("ul", "ol"):
+                self.lists.append([tag, 0])
+            elif tag == "li":
+                if not self.lists:
+                    self.lists.append(["ul", 0])
+                self.lists[-1][1] += 1
+                mark = "- " if self.lists[-1][0] == "ul" else "1. "  # readers count themselves
+                self.prefixes.append(_Prefix(mark, " " * len(mark), True))
+            elif tag == "blockquote":
+                self.prefixes.append(_Prefix("> ", "> "))
+            elif tag == "pre":
+                self.pre += 1
+            elif tag[0] == "h" and tag[1:].isdigit():
+                self.heading = int(tag[1:])
+            elif tag == "table":
+                self.rows = 0
+            elif tag == "tr":
+                self.row = []
+
+    def close(self, e) -> None:
+        tag = e.tag
+        if self.inline[-1][0] is e:  # what was opened within it is closed by now
+            _, target, parts = self.inline.pop()
+            s = "".join(parts)
+            core = s.strip()
+            mark = MARKS.get(tag)
+            if core and e.closed and (mark or target):
+                lead, tail = s[:len(s) - len(s.lstrip())], s[len(s.rstrip()):]
+                s = lead + (f"{mark}{core}{mark}" if mark else f"[{core}]({target})") + tail
+            self.inline[-1][2].append(s)
+        elif tag in ("td", "th") and self.row is not None:
+            self.row.append(SPACES.sub(" ", self._taken()).strip().replace("|", "\\|"))
+        elif tag == "tr" and self.row is not None:
+            cells, self.row = self.row, None
+            if any(cells):
+                self.rows += 1
+                self.put(["| " + " | ".join(cells) + " |"])
+                if self.rows == 1:
+                    self.rows = 2
+                    self.put(["|" + " --- |" * len(cells)])
+            self._taken()
+        elif tag == "pre":
+            code = self._taken().strip("\n")
+            fence = "```"
+            while fence in code:
+                fence += "`"
+            if code.strip():
+                self.put([fence, *code.split("\n"), fence])
+            self.pre -= 1
+        elif tag in BLOCKS:
+            self.flush()
+            if tag in ("ul", "ol") and self.lists:
+                self.lists.pop()
+            elif tag in ("li", "blockquote") and self.prefixes:
+                self.prefixes.pop()
+            elif tag[0] == "h" and tag[1:].isdigit():
+                self.heading = 0
+            elif tag == "table":
+                self.rows = 0
+
+
+def walk(html: str | None, base: str | None = None) -> str:
+    """Markdown of a piece of HTML whose links are relative to ``base``."""
+    page, out = Page(html), _Writer(base)
+    for event, ends in page.inside(page.root):
+        if isinstance(event, str):
+            out.text(event)
+        elif event is not None:
+            out.open(event)
+        elif ends is not None:
+            out.close(ends)
+    out.flush()
+    return "\n".join(out.lines)
+
 
-MARKDOWN_RULES: list[tuple[str, str]] = [
-    (r"(?is)<pre\b[^>]*>\s*(?:<code\b[^>]*>)?", "\n\n```\n"),
-    (r"(?is)(?:</code\s*>\s*)?</pre\s*>", "\n```\n\n"),
-    (r"(?i)<h1\b[^>]*>", "\n\n# "),
-    (r"(?i)<h2\b[^>]*>", "\n\n## "),
-    (r"(?i)<h3\b[^>]*>", "\n\n### "),
-    (r"(?i)<h4\b[^>]*>", "\n\n#### "),
-    (r"(?i)<h5\b[^>]*>", "\n\n##### "),
-    (r"(?i)<h6\b[^>]*>", "\n\n###### "),
-    (r"(?i)</h[1-6]\s*>", "\n\n"),
-    # inner marks first, so that either may stand in the other
-    (r"(?is)<code\b[^>]*>([^<]*)</code\s*>", "`$1`"),
-    (r"(?is)<(?:i|em)\b[^>]*>([^<]*)</(?:i|em)\s*>", "*$1*"),
-    (r"(?is)<(?:b|strong)\b[^>]*>([^<]*)</(?:b|strong)\s*>", "**$1**"),
-    (r"(?is)<(?:i|em)\b[^>]*>([^<]*)</(?:i|em)\s*>", "*$1*"),
-    (r"""(?is)<a\b[^>]*?\shref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
-    (r"""(?is)<a\b[^>]*?\shref\s*=\s*'([^']*)'[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
-    (r"""(?is)<a\b[^>]*?\shref\s*=\s*([^\s"'>]+)[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
-    (r"""(?is)<img\b[^>]*?\ssrc\s*=\s*"([^"]*)"[^>]*>""", "![]($1)"),
-    (r"(?i)<li\b[^>]*>", "\n- "),
-    (r"(?i)</li\s*>", ""),
-    (r"(?i)</?(?:ul|ol)\b[^>]*>", "\n\n"),
-    (r"(?i)<blockquote\b[^>]*>", "\n\n> "),  # a quote left open
-    (r"(?i)</blockquote\s*>", "\n\n"),
-    (r"(?i)<hr\b[^>]*>", "\n\n* * *\n\n"),
-    (r"(?i)<br\s*/?>", "\n"),
-    (r"(?i)</?(?:p|div|section|article|header|footer|main|table|thead|tbody|tr|figure|figcaption"
-     r"|dl|dt|dd|address|details|summary)\b[^>]*>", "\n\n"),
-    (r"(?i)</?(?:td|th)\b[^>]*>", " "),
-    (r"</?[A-Za-z][^>]*>|<![^>]*>", ""),
-]
-# after entity decoding: horizontal whitespace runs → one space, spaces
-# around line breaks dropped, but for fenced code
-MD_HSPACE = r"[\t\x0B\f \x{85}\p{Z}]+"
-MD_LINE_EDGES = r" *\n *"
-FENCE = "```"
-OL_OPEN, OL_INSIDE = r"(?i)<ol\b[^>]*>", r"(?is)^(.*?)(?:</ol\s*>|\z)"
-QUOTE_OPEN, QUOTE_INSIDE = r"(?i)<blockquote\b[^>]*>", r"(?is)^(.*?)(?:</blockquote\s*>|\z)"
-ITEM, QUOTE_BREAK = r"(?i)<li\b[^>]*>", r"(?is)(?:\s|<br\s*/?>|</?p\b[^>]*>)*(?:<br\s*/?>|</?p\b[^>]*>)(?:\s|<br\s*/?>|</?p\b[^>]*>)*"
-
-
-def _inside(html: Column, opening: str, inside: str, rewrite) -> Column:
-    """Rewrite what follows each opening tag up to its closing tag."""
-    parts = F.split(html, opening, -1)
-
-    def one(x: Column) -> Column:
-        body = F.regexp_extract(x, inside, 1)
-        return F.concat(rewrite(body), F.substr(x, F.length(body) + 1))
-    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), one), ""))
-
-
-def markdown_markup(html: Column) -> Column:
-    """Number the items of ordered lists, mark every line of a quote, then apply
-    :data:`MARKDOWN_RULES` in order (entities still encoded)."""
-    out = _inside(html, OL_OPEN, OL_INSIDE, lambda b: F.concat(F.lit("\n\n"), F.regexp_replace(b, ITEM, "\n1. ")))
-    out = _inside(out, QUOTE_OPEN, QUOTE_INSIDE, lambda b: F.concat(F.lit("\n\n> "), F.regexp_replace(
-        F.regexp_replace(b, "^(?:" + QUOTE_BREAK + r")|(?:" + QUOTE_BREAK + r")\z", ""), QUOTE_BREAK, "\n>\n> ")))
-    for pat, rep in MARKDOWN_RULES:
-        out = F.regexp_replace(out, pat, rep)
-    return out
-
-
-def markdown_spacing(s: Column) -> Column:
-    def one(x: Column, i: Column) -> Column:
-        return F.when(i % 2 == 1, x).otherwise(F.regexp_replace(F.regexp_replace(x, MD_HSPACE, " "), MD_LINE_EDGES, "\n"))
-    return F.array_join(F.transform(F.split(s, FENCE, -1), one), FENCE)
+def markdown(html: Column, base: Column) -> Column:
+    """:func:`walk` over Arrow batches."""
+    def many(pieces: pd.Series, bases: pd.Series) -> pd.Series:
+        return pd.Series([walk(h, b) for h, b in zip(pieces, bases)], dtype=object)
+    return F.pandas_udf(many, StringType())(html, base)

@@ -11,10 +11,11 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from webfold.constants import DEFAULT_MIN_WORD_COUNT, EXTRACTION_METHOD, MANIFEST_STATUS_OK
 from webfold.functions import text as T
-from webfold.functions.markdown import markdown_markup, markdown_spacing
+from webfold.functions.markdown import markdown
 from webfold.functions.urls import relative_paths
 
 # A fixed crawl time keeps runs repeatable; callers pass their own.
@@ -27,11 +28,10 @@ def _ts(v) -> Column:
     return F.lit(v).cast("timestamp")
 
 
-def to_markdown(df: DataFrame, html: str = "content_html", out: str = "markdown") -> DataFrame:
-    """E2 + U11: Markdown of the article container, normalised."""
-    df = df.withColumn("_md1", markdown_markup(F.col(html)))
-    df = df.withColumn(out, T.normalize_markdown(markdown_spacing(T.decode_text(F.col("_md1")))))
-    return df.drop("_md1")
+def to_markdown(df: DataFrame, html: str = "content_html", out: str = "markdown", base: str = "norm_url") -> DataFrame:
+    """E2 + U11: Markdown of the article container, normalised; links absolute where ``base`` names the page."""
+    of = F.col(base) if base in df.columns else F.lit(None).cast("string")
+    return df.withColumn(out, T.normalize_markdown(markdown(F.col(html), of)))
 
 
 def content_hash(text: Column) -> Column:
@@ -145,13 +145,15 @@ def content_dedup(df: DataFrame, hash_col: str = "content_hash", key: str = "pag
                   prefer: Column | None = None) -> DataFrame:
     """Keep one row per content hash — canonical first, then lowest key.
 
-    Skew-safe: a ``groupBy`` with map-side partial aggregation picks the
-    winner key per hash; the winners come back through a semi-join on the
-    unique ``key`` (no hot key on either side of that join).
+    One ``groupBy`` with map-side partial aggregation takes the winner's whole
+    row, so a hot hash leaves each task as one row, nothing is shuffled twice
+    and a key that stands on several rows keeps no loser.  Rows with a null
+    hash are one group.
     """
+    others = [c for c in df.columns if c != hash_col]
     rank = prefer if prefer is not None else F.lit(0)
-    winners = (df.select(hash_col, key, rank.alias("_pref"))
-               .groupBy(hash_col)
-               .agg(F.min_by(F.col(key), F.struct(F.col("_pref"), F.col(key))).alias(key)))
-    return df.join(winners.select(key), on=key, how="left_semi")
+    # the other columns come last, so that rows with equal keys are told apart the same way in every run
+    order = F.struct(rank.alias("_pref"), F.col(key).alias("_key"), *[F.col(c) for c in others if not isinstance(df.schema[c].dataType, MapType)])
+    agg = df.groupBy(hash_col).agg(F.min_by(F.struct(*others), order).alias("_r"))
+    return agg.select(*[F.col(hash_col) if c == hash_col else F.col(f"_r.{c}").alias(c) for c in df.columns])
 

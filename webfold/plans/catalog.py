@@ -675,3 +675,8 @@ def q_stream_counters(spark, d):
     stream = spark.readStream.schema("job_id string, url string, crawled_at timestamp, word_count int").parquet(pages)
     ST.run_updates(ST.windowed_counters(stream, delay=None), f"{counts}/out", f"{counts}/checkpoint")
     return ST.latest(spark, f"{counts}/out", ["job_id", "window_start", "window_end"])
+
+
+# ------------------------------------------------------------------ queries of other modules, registered as they load
+
+from webfold.plans import structure  # noqa: E402,F401

@@ -2,9 +2,10 @@
 
 The same rules as the Spark code, written independently in DuckDB's dialect
 (RE2 regexes, ``'g'`` for replace-all, ``\\1`` groups, ``lambda x:`` lists).
-Pattern *constants* are shared with the Spark modules on purpose: they are the
-rule, and both engines must read them the same way; the code around them is
-not shared.
+Pattern *constants* of URLs and plain text are shared with the Spark modules on
+purpose: they are the rule, and both engines must read them the same way; the code
+around them is not shared.  Main content and Markdown are found by patterns here
+and by a walk over the elements there.
 
 A query is a chain of CTEs; :class:`Chain` appends ``SELECT *, <exprs>``
 steps so that each expensive expression is computed once and later steps
@@ -16,8 +17,48 @@ from __future__ import annotations
 from webfold.constants import (ARTICLE_PATTERNS, BLACKLIST_SEGMENTS, TRACKING_PARAMS)
 from webfold.functions import text as T
 from webfold.functions import urls as U
-from webfold.functions import markdown as MD
-from webfold.functions.markdown import MARKDOWN_RULES, MD_HSPACE, MD_LINE_EDGES
+
+
+# Markdown by ordered rewrites; the Spark side walks the elements instead, and shares none of this.
+MARKDOWN_RULES: list[tuple[str, str]] = [
+    (r"(?is)<pre\b[^>]*>\s*(?:<code\b[^>]*>)?", "\n\n```\n"),
+    (r"(?is)(?:</code\s*>\s*)?</pre\s*>", "\n```\n\n"),
+    (r"(?i)<h1\b[^>]*>", "\n\n# "),
+    (r"(?i)<h2\b[^>]*>", "\n\n## "),
+    (r"(?i)<h3\b[^>]*>", "\n\n### "),
+    (r"(?i)<h4\b[^>]*>", "\n\n#### "),
+    (r"(?i)<h5\b[^>]*>", "\n\n##### "),
+    (r"(?i)<h6\b[^>]*>", "\n\n###### "),
+    (r"(?i)</h[1-6]\s*>", "\n\n"),
+    # inner marks first, so that either may stand in the other
+    (r"(?is)<code\b[^>]*>([^<]*)</code\s*>", "`$1`"),
+    (r"(?is)<(?:i|em)\b[^>]*>([^<]*)</(?:i|em)\s*>", "*$1*"),
+    (r"(?is)<(?:b|strong)\b[^>]*>([^<]*)</(?:b|strong)\s*>", "**$1**"),
+    (r"(?is)<(?:i|em)\b[^>]*>([^<]*)</(?:i|em)\s*>", "*$1*"),
+    (r"""(?is)<a\b[^>]*?\shref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
+    (r"""(?is)<a\b[^>]*?\shref\s*=\s*'([^']*)'[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
+    (r"""(?is)<a\b[^>]*?\shref\s*=\s*([^\s"'>]+)[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
+    (r"""(?is)<img\b[^>]*?\ssrc\s*=\s*"([^"]*)"[^>]*>""", "![]($1)"),
+    (r"(?i)<li\b[^>]*>", "\n- "),
+    (r"(?i)</li\s*>", ""),
+    (r"(?i)</?(?:ul|ol)\b[^>]*>", "\n\n"),
+    (r"(?i)<blockquote\b[^>]*>", "\n\n> "),  # a quote left open
+    (r"(?i)</blockquote\s*>", "\n\n"),
+    (r"(?i)<hr\b[^>]*>", "\n\n* * *\n\n"),
+    (r"(?i)<br\s*/?>", "\n"),
+    (r"(?i)</?(?:p|div|section|article|header|footer|main|table|thead|tbody|tr|figure|figcaption"
+     r"|dl|dt|dd|address|details|summary)\b[^>]*>", "\n\n"),
+    (r"(?i)</?(?:td|th)\b[^>]*>", " "),
+    (r"</?[A-Za-z][^>]*>|<![^>]*>", ""),
+]
+# after entity decoding: horizontal whitespace runs → one space, spaces
+# around line breaks dropped, but for fenced code
+MD_HSPACE = r"[\t\x0B\f \x{85}\p{Z}]+"
+MD_LINE_EDGES = r" *\n *"
+FENCE = "```"
+OL_OPEN, OL_INSIDE = r"(?i)<ol\b[^>]*>", r"(?is)^(.*?)(?:</ol\s*>|\z)"
+QUOTE_OPEN, QUOTE_INSIDE = r"(?i)<blockquote\b[^>]*>", r"(?is)^(.*?)(?:</blockquote\s*>|\z)"
+ITEM, QUOTE_BREAK = r"(?i)<li\b[^>]*>", r"(?is)(?:\s|<br\s*/?>|</?p\b[^>]*>)*(?:<br\s*/?>|</?p\b[^>]*>)(?:\s|<br\s*/?>|</?p\b[^>]*>)*"
 
 
 def q(s: str) -> str:
@@ -286,10 +327,10 @@ def _inside(e: str, opening: str, inside: str, rewrite) -> str:
 
 
 def markdown_markup(e: str) -> str:
-    out = _inside(e, MD.OL_OPEN, MD.OL_INSIDE, lambda b: f"chr(10) || chr(10) || {rx_replace(b, MD.ITEM, chr(10) + '1. ')}")
-    edge = "^(?:" + MD.QUOTE_BREAK + r")|(?:" + MD.QUOTE_BREAK + r")\z"
-    out = _inside(out, MD.QUOTE_OPEN, MD.QUOTE_INSIDE, lambda b: "chr(10) || chr(10) || '> ' || " + rx_replace(
-        rx_replace(b, edge, ""), MD.QUOTE_BREAK, chr(10) + ">" + chr(10) + "> "))
+    out = _inside(e, OL_OPEN, OL_INSIDE, lambda b: f"chr(10) || chr(10) || {rx_replace(b, ITEM, chr(10) + '1. ')}")
+    edge = "^(?:" + QUOTE_BREAK + r")|(?:" + QUOTE_BREAK + r")\z"
+    out = _inside(out, QUOTE_OPEN, QUOTE_INSIDE, lambda b: "chr(10) || chr(10) || '> ' || " + rx_replace(
+        rx_replace(b, edge, ""), QUOTE_BREAK, chr(10) + ">" + chr(10) + "> "))
     for pat, rep in MARKDOWN_RULES:
         out = rx_replace(out, pat, dollar_to_backslash(rep))
     return out
@@ -351,6 +392,6 @@ def markdown_expr(e: str) -> str:
 
 
 def markdown_finish(md1: str) -> str:
-    text = f"string_split({decode_entities(md1)}, {q(MD.FENCE)})"
+    text = f"string_split({decode_entities(md1)}, {q(FENCE)})"
     loose = rx_replace(rx_replace("x", MD_HSPACE, " "), MD_LINE_EDGES, chr(10))
-    return normalize_markdown(f"array_to_string(list_transform({text}, lambda x, i: CASE WHEN i % 2 = 0 THEN x ELSE {loose} END), {q(MD.FENCE)})")
+    return normalize_markdown(f"array_to_string(list_transform({text}, lambda x, i: CASE WHEN i % 2 = 0 THEN x ELSE {loose} END), {q(FENCE)})")
