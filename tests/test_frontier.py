@@ -67,3 +67,55 @@ def test_a_job_may_name_its_seed(spark):
     from pyspark.sql import functions as F
     jobs, links, fetched = tables(spark, ALL)
     assert paths(crawl_frontier(jobs.withColumn("seed_url", F.lit("https://garden.test/c")), links, fetched)) == {("/c", 1), ("/d", 2), ("/a", 3), ("/", 4), ("/blog/b", 5)}
+
+
+def as_rows(df):
+    return sorted((r.job_id, r.url, r.depth, list(r.ord), r.captured) for r in df.collect())
+
+
+def test_a_resumed_run_ends_as_a_fresh_one(spark):
+    """Late captures at any level, shorter ways found by them, and depth limits."""
+    import random
+    rnd = random.Random(6)
+    for trial, depth in enumerate((2, 3, 0)):
+        nodes = ["/"] + [f"/n{k}" for k in range(14)]
+        edges = sorted({(rnd.choice(nodes), rnd.choice(nodes)) for _ in range(26)})
+        jobs = tables(spark, ["/"], max_depth=depth)[0]
+        links = spark.createDataFrame([(absolute(a), k, absolute(b)) for k, (a, b) in enumerate(edges)], "src_url string, position int, dst_url string")
+        captured = lambda some: spark.createDataFrame([(absolute(c),) for c in some], "url string")
+        some = ["/"] * (trial != 1) + rnd.sample(nodes[1:], 5)
+        earlier = crawl_frontier(jobs, links, captured(some) if some else captured(["/none"]))
+        assert as_rows(crawl_frontier(jobs, links, captured(nodes), earlier=earlier)) == as_rows(crawl_frontier(jobs, links, captured(nodes)))
+
+
+def test_resume_at_the_depth_limit(spark):
+    earlier = crawl_frontier(*tables(spark, ["/x"], max_depth=2))
+    assert paths(earlier) == {("/", 1)}
+    assert paths(crawl_frontier(*tables(spark, ALL, max_depth=2), earlier=earlier)) == {("/", 1), ("/a", 2), ("/blog/b", 2)}
+
+
+def test_resume_counts_what_is_scheduled(spark):
+    earlier = crawl_frontier(*tables(spark, ["/"], max_pages=4))
+    assert len(paths(earlier)) == 3
+    assert paths(crawl_frontier(*tables(spark, ALL, max_pages=4), earlier=earlier)) == {("/", 1), ("/a", 2), ("/blog/b", 2), ("/c", 3)}
+
+
+def test_a_budget_of_a_hot_job_is_spread(spark):
+    from pyspark.sql import functions as F
+
+    from webfold.operators.frontier import _within_budget
+    n, budget = 6000, 2000
+    hot = spark.range(n).select(F.lit("hot").alias("job_id"), F.concat(F.lit("u"), F.col("id")).alias("url"), F.array((F.col("id") * 7919) % n).alias("okey"))
+    small = spark.createDataFrame([("few", "a", [1]), ("few", "b", [0]), ("none", "a", [0]), ("free", "z", [5])], "job_id string, url string, okey array<long>")
+    limits = spark.createDataFrame([("hot", budget), ("few", 2), ("none", 0), ("free", -1)], "job_id string, remaining long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be joined again
+    try:
+        got = _within_budget(hot.unionByName(small), limits)
+        dealt = [r["count"] for r in hot.repartitionByRange("job_id", "okey", "url").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(dealt) == 4 and max(dealt) < n / 2  # a share each
+    rows = [(r.job_id, r.url) for r in got.collect()]
+    assert sorted(x for x in rows if x[0] != "hot") == [("few", "a"), ("few", "b"), ("free", "z")]
+    want = {r.url for r in hot.orderBy("okey", "url").limit(budget).collect()}
+    assert len(rows) == len(set(rows)) == budget + 3 and {u for j, u in rows if j == "hot"} == want

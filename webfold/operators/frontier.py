@@ -16,12 +16,11 @@ position]`` (lexicographic order = parent order, then position).  The budget cou
 refused by depth or scope never takes a slot (W2), so refusals are filters
 applied before ranking.
 
-Skew: a job may own a third of all URLs.  Ranking uses ``row_number`` over
-``job_id`` only with a literal upper bound (the largest finite budget), so
-Spark plans a ``WindowGroupLimit`` before the shuffle and each map task ships
-at most that many rows per job; jobs with an unlimited budget skip the
-window.  Dedup is a partial aggregate; the anti-join is keyed by
-``(job_id, url)``, which spreads a hot job over all partitions.
+Skew: a job may own a third of all URLs, or all of them.  A budget is applied
+by ranges of the order key, spread over all tasks, of which only the one a
+job's budget ends in is ranked; jobs with room for all candidates skip this.  Dedup is a
+partial aggregate; the anti-join is keyed by ``(job_id, url)``, which spreads a
+hot job over all partitions.
 
 Lineage: every level is written with ``checkpoint()`` to the shared folder
 named by ``spark.checkpoint.dir`` (reliable, so a lost executor recomputes
@@ -114,22 +113,33 @@ def seeds(jobs: DataFrame, sitemap_urls: DataFrame | None, scope=in_job_scope) -
     return sm.unionByName(home)
 
 
-def _within_budget(cand: DataFrame, budget: DataFrame, max_cap: int | None) -> DataFrame:
-    """Keep at most ``remaining`` rows per job in ``okey`` order.
+def _within_budget(cand: DataFrame, budget: DataFrame) -> DataFrame:
+    """Keep at most ``remaining`` rows per job in (``okey``, ``url``) order.
 
-    ``budget``: (job_id, remaining), remaining < 0 meaning unlimited; such
-    jobs skip the window entirely.  The literal ``max_cap`` lets Spark plan a
-    ``WindowGroupLimit`` on both sides of the shuffle (bounded rows per job
-    per task even for a hot job).
+    ``budget``: (job_id, remaining), remaining < 0 meaning unlimited.  Jobs that
+    are unlimited, or have no more candidates than slots, keep all their rows
+    and sort nothing.  The others' rows are dealt into ranges of (job, okey,
+    url) and written once, so a job with all the URLs is spread over all tasks;
+    a count per range and job tells which ranges lie wholly within the
+    budget, and only the one range a job's budget ends in is ranked.
     """
-    c = cand.join(budget, "job_id")
-    unlimited = c.filter(F.col("remaining") < 0).drop("remaining")
-    limited = c.filter(F.col("remaining") >= 0)
-    ranked = limited.withColumn("_rn", F.row_number().over(Window.partitionBy("job_id").orderBy("okey", "url")))
-    cond = F.col("_rn") <= F.col("remaining")
-    if max_cap is not None:
-        cond = cond & (F.col("_rn") <= F.lit(int(max_cap)))
-    return ranked.filter(cond).drop("_rn", "remaining").unionByName(unlimited)
+    counts = cand.groupBy("job_id").agg(F.count("*").alias("_n"))
+    over = (counts.join(budget, "job_id").filter((F.col("remaining") >= 0) & (F.col("_n") > F.col("remaining")))
+            .select("job_id", "remaining").checkpoint())
+    if over.isEmpty():
+        return cand
+    kept = cand.join(over.select("job_id"), "job_id", "left_anti")
+    ranges = cand.join(over.filter(F.col("remaining") > 0), "job_id").repartitionByRange("job_id", "okey", "url")
+    ranges = ranges.withColumn("_range", F.spark_partition_id()).checkpoint()
+    sizes = ranges.groupBy("job_id", "_range", "remaining").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("job_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    # a row per job and range: at most jobs + ranges rows
+    sizes = sizes.withColumn("_left", F.col("remaining") - F.coalesce(before, F.lit(0))).filter(F.col("_left") > 0).select("job_id", "_range", "_left", "_n")
+    taken = ranges.drop("remaining").join(sizes, ["job_id", "_range"])
+    rank = F.row_number().over(Window.partitionBy("job_id", "_range").orderBy("okey", "url"))
+    edge = taken.filter(F.col("_n") > F.col("_left")).withColumn("_rn", rank).filter(F.col("_rn") <= F.col("_left"))
+    return (kept.unionByName(taken.filter(F.col("_n") <= F.col("_left")).select(*cand.columns))
+            .unionByName(edge.select(*cand.columns)))
 
 
 def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
@@ -144,17 +154,17 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
     the positions on the path from the seed (lexicographic order).  ``scope``
     (X5) filters candidates (job_id, url, host, ...) given the jobs.  ``earlier``
     (O5) is the result of an earlier run to resume: its URLs stay scheduled and
-    take budget, and those at the deepest level are expanded again against the
-    pages captured since.  ``article_first`` (F19, W6) ranks URLs that look like
+    take budget.  Pages captured since are expanded at their own level, shorter
+    ways lower what lies behind them, and new seeds join, so a resumed run ends as a
+    fresh one would (where no budget binds).  ``article_first`` (F19, W6) ranks URLs that look like
     articles before the others found at the same level.
     """
     jobs = jobs.select("job_id", "domain", "allowed_domains", "max_pages", "max_depth", "discovery_mode",
                        *[c for c in ("seed_url",) if c in jobs.columns])
     spark = jobs.sparkSession
-    stats = jobs.agg(F.max(F.when(F.col("max_pages") > 0, F.col("max_pages"))).alias("cap"),
-                     F.max(F.when(F.col("max_depth") > 0, F.col("max_depth"))).alias("depth"),
+    stats = jobs.agg(F.max(F.when(F.col("max_depth") > 0, F.col("max_depth"))).alias("depth"),
                      F.max((F.col("max_depth") == 0).cast("int")).alias("unl")).first()
-    caps, finite_max_depth, any_unlimited_depth = stats["cap"], stats["depth"] or 0, bool(stats["unl"])
+    finite_max_depth, any_unlimited_depth = stats["depth"] or 0, bool(stats["unl"])
     fetched = fetched.select("url").distinct()
     limits = jobs.select("job_id", "max_pages", "max_depth")
     # host and blacklist of each target once, before the loop
@@ -180,37 +190,57 @@ def crawl_frontier(jobs: DataFrame, links: DataFrame, fetched: DataFrame,
     def dedup(c: DataFrame) -> DataFrame:
         return c.groupBy("job_id", "url").agg(F.min("okey").alias("okey"))
 
-    if earlier is None:
-        first = dedup(seeds(jobs, sitemap_urls, scope))
-        level = _within_budget(first, budget_after(None), caps).withColumn("depth", F.lit(1))
-        if checkpoint:
-            level = level.checkpoint()
-        scheduled = level
-        depth = 1
-    else:
-        scheduled = earlier.select("job_id", "url", F.col("ord").alias("okey"), "depth")
-        if checkpoint:
-            scheduled = scheduled.checkpoint()
-        level = scheduled  # pages captured since may stand at any level; the anti-join drops what is known
-        depth = scheduled.agg(F.max("depth")).first()[0] or 1
-    while any_unlimited_depth or depth < finite_max_depth:
-        # expand fetched pages of jobs whose depth limit allows another level
-        parents = (level.join(fetched, "url", "left_semi")
-                   .join(limits, "job_id")
+    def written(df: DataFrame) -> DataFrame:
+        return df.checkpoint() if checkpoint else df
+
+    def expand(level: DataFrame) -> DataFrame:
+        """What fetched pages link to, for jobs whose depth limit allows another level: (job_id, url, okey)."""
+        parents = (level.join(fetched, "url", "left_semi").join(limits, "job_id")
                    .filter((F.col("max_depth") == 0) | (F.col("depth") < F.col("max_depth")))
                    .select("job_id", F.col("url").alias("src_url"), "okey"))
         step = F.array(F.col("rank"), F.col("position").cast("long")) if article_first else F.array(F.col("position").cast("long"))
         cand = parents.join(edges, "src_url").select("job_id", F.col("dst_url").alias("url"), "host", F.concat("okey", step).alias("okey"))
-        cand = dedup(scope(cand, jobs))
-        cand = cand.join(scheduled.select("job_id", "url"), ["job_id", "url"], "left_anti")
-        depth += 1
-        new = _within_budget(cand, budget_after(scheduled), caps).withColumn("depth", F.lit(depth))
-        if checkpoint:
-            new = new.checkpoint()
-        if new.isEmpty():
-            break
-        scheduled = scheduled.unionByName(new)  # a union of written levels: nothing is written twice
-        level = new
+        return dedup(scope(cand, jobs))
+
+    if earlier is None:
+        level = written(_within_budget(dedup(seeds(jobs, sitemap_urls, scope)), budget_after(None)).withColumn("depth", F.lit(1)))
+        scheduled, depth = level, 1
+        while any_unlimited_depth or depth < finite_max_depth:
+            cand = written(expand(level).join(scheduled.select("job_id", "url"), ["job_id", "url"], "left_anti"))
+            depth += 1
+            level = written(_within_budget(cand, budget_after(scheduled)).withColumn("depth", F.lit(depth)))
+            if level.isEmpty():
+                break
+            scheduled = scheduled.unionByName(level)  # a union of written levels: nothing is written twice
+    else:
+        was = F.coalesce(F.col("captured"), F.lit(False)) if "captured" in earlier.columns else F.lit(False)
+        known = earlier.select("job_id", "url", F.col("ord").alias("okey"), F.col("depth").cast("int").alias("depth"), was.alias("was")).checkpoint()
+        late = known.filter(~F.col("was")).join(fetched, "url", "left_semi").select("job_id", "url", "okey", "depth").checkpoint()
+        late_at = sorted(r.depth for r in late.select("depth").distinct().collect())  # a number per level
+        scheduled, count = known.drop("was"), known.select("job_id", "url")
+
+        def better(cand: DataFrame, depth: int) -> DataFrame:
+            """Candidates that are new (within the budget), or come before what is known of their URL."""
+            best = scheduled.groupBy("job_id", "url").agg(F.min(F.struct("depth", "okey")).alias("_known"))
+            cand = written(cand.withColumn("depth", F.lit(depth)).join(best, ["job_id", "url"], "left"))
+            new = _within_budget(cand.filter(F.col("_known").isNull()).drop("_known"), budget_after(count))
+            return written(new.unionByName(cand.filter(F.struct("depth", "okey") < F.col("_known")).drop("_known")))
+
+        depth, level = 1, better(dedup(seeds(jobs, sitemap_urls, scope)), 1)
+        while True:
+            if level.isEmpty():  # go on at the next level with a page captured since
+                depth = next((d for d in late_at if d >= depth), None)
+                if depth is None:
+                    break
+            else:
+                count = count.unionByName(level.select("job_id", "url").join(count, ["job_id", "url"], "left_anti"))
+                scheduled = scheduled.unionByName(level)
+            if not any_unlimited_depth and depth >= finite_max_depth:
+                break
+            level = better(expand(level.unionByName(late.filter(F.col("depth") == depth))), depth + 1)
+            depth += 1
+        first = scheduled.groupBy("job_id", "url").agg(F.min(F.struct("depth", "okey")).alias("_r"))
+        scheduled = first.select("job_id", "url", "_r.okey", "_r.depth")
     captured = fetched.select("url", F.lit(True).alias("captured"))
     return scheduled.join(captured, "url", "left").select(
         "job_id", "url", F.col("depth").cast("int").alias("depth"), F.col("okey").alias("ord"),
