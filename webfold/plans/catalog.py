@@ -621,7 +621,7 @@ def _stream_out(spark, df, name, mode="append"):
 def _page_stream(spark, d):
     """The table as a stream, be it one file or a folder of part files: by a pattern, since Spark takes a plain path for a folder."""
     _pages(spark, d)  # no table is an error here; a pattern without matches is none
-    return ST.read_page_stream(spark, f"{d}/pages.parque[t]", max_files_per_trigger=1)
+    return ST.read_page_stream(spark, f"{d}/pages.parque[t]")
 
 
 @register("stream_manifest", _long_chain().step(
@@ -679,4 +679,4 @@ def q_stream_counters(spark, d):
 
 # ------------------------------------------------------------------ queries of other modules, registered as they load
 
-from webfold.plans import schedules, structure  # noqa: E402,F401
+from webfold.plans import schedules, structure, visits  # noqa: E402,F401
