@@ -126,13 +126,42 @@ def top_quality_pages(scores: DataFrame, k: int = 10, key: str = "page_id") -> D
     return scores.withColumn("host_rank", F.row_number().over(w)).filter(F.col("host_rank") <= F.lit(int(k)))
 
 
+def chain_ends(hops: DataFrame) -> DataFrame:
+    """(url, end) for each ``url`` of ``hops`` (url, to): where following ``to`` ends; on a cycle, its smallest URL.
+
+    Pointer jumping: each round doubles the way that a row has gone, so rounds
+    are the logarithm of the longest chain.  A row keeps the smallest URL it has
+    passed; rows that never end lead into a cycle, and once the way is as long as there are
+    such rows, the place they stand at has passed its whole cycle.  ``url`` is
+    unique; of several rows the smallest ``to`` counts.  Rounds are written, and only a
+    number a round reaches the driver.
+    """
+    state = (hops.filter("url IS NOT NULL AND to IS NOT NULL AND url <> to").groupBy("url").agg(F.min("to").alias("at"))
+             .select("url", "at", F.col("url").alias("low"), F.lit(False).alias("done")).checkpoint())
+    way = 1
+    while (left := state.filter("NOT done").count()) and way <= 2 * left:
+        ahead = state.select(F.col("url").alias("_u"), F.col("at").alias("_at"), F.col("low").alias("_low"), F.col("done").alias("_done"))
+        gone = state.filter("NOT done").join(ahead, F.col("at") == F.col("_u"), "left").select(
+            "url", F.coalesce("_at", "at").alias("at"), F.least("low", "_low").alias("low"), F.coalesce("_done", F.lit(True)).alias("done"))
+        state = state.filter("done").unionByName(gone).checkpoint()
+        way *= 2
+    cycle = state.filter("NOT done").select(F.col("url").alias("_u"), F.col("low").alias("_low"))
+    around = state.filter("NOT done").join(cycle, F.col("at") == F.col("_u")).select("url", F.col("_low").alias("end"))
+    return state.filter("done").select("url", F.col("at").alias("end")).unionByName(around)
+
+
 def canonical_identity(extracted: DataFrame, key: str = "page_id") -> DataFrame:
-    """Identity URL = canonical URL when the page declares one, else its
-    own normalised URL; ``n_aliases`` = pages sharing that identity."""
+    """Identity URL = where the page's canonical links lead: the canonical
+    URL it declares, the one declared there if that is a captured page, and so on
+    (on a cycle its smallest URL); else its own normalised URL.  ``n_aliases`` = pages
+    sharing that identity.  Of several captures of a URL that of the lowest key counts."""
     ident = F.when(F.col("canonical_url") != "", F.col("canonical_url")).otherwise(F.col("norm_url"))
-    # written once: the count and the join read three short columns, and the
-    # join key's lineage ends here instead of in the extraction
-    df = extracted.filter(F.col("norm_url").isNotNull()).select(key, "norm_url", ident.alias("identity_url")).checkpoint()
+    # written once: the joins read short columns, and their lineage ends here instead of in the extraction
+    df = extracted.filter(F.col("norm_url").isNotNull()).select(key, "norm_url", ident.alias("next_url")).checkpoint()
+    hops = df.groupBy(F.col("norm_url").alias("url")).agg(F.min_by("next_url", key).alias("to"))
+    ends = chain_ends(hops)
+    df = (df.join(ends, F.col("next_url") == F.col("url"), "left").drop("url")
+          .select(key, "norm_url", F.coalesce("end", "next_url").alias("identity_url")).checkpoint())
     counts = df.groupBy("identity_url").agg(F.count("*").alias("n_aliases"))
     return df.join(counts, "identity_url", "left")
 
