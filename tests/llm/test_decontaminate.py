@@ -25,12 +25,12 @@ def brute(cases, items):
         w, hit, ids = wordlist(text), set(), set()
         for item, q in items:
             q = wordlist(q)
-            for s in range(max(1, len(q) - 9) if q and item else 0):
+            for s in range(max(1, len(q) - 9) if q else 0):  # of an item without id too: its words are hit, there is no id to list
                 win = q[s:s + 10]
                 for k in range(len(w) - len(win) + 1):
                     if w[k:k + len(win)] == win:
                         hit |= set(range(k, k + len(win)))
-                        ids.add(item)
+                        ids |= {item} - {None}
         out.append((i, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
     return sorted(out, key=repr)
 
@@ -70,3 +70,14 @@ def test_empty_tables(spark):
     assert leak_report(documents(spark, []), items(spark)).count() == 0
     got = leak_report(documents(spark, CASES), items(spark, [])).collect()
     assert len(got) == len(CASES) and not any(r.contaminated for r in got)
+
+
+def test_words_of_an_item_without_id_are_hit(spark):
+    from webfold.llm.decontaminate import drop_leaks, leak_report
+    text = " ".join(f"q{k}" for k in range(12))
+    items = spark.createDataFrame([(None, text), ("b", "other words"), (None, None)], "item_id string, text string")
+    docs = documents(spark, [(1, "x " + text), (2, "clean"), (3, "other words"), (4, None)])
+    for block in (60_000, 1):
+        got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in leak_report(docs, items).collect()}
+        assert got == {1: (12, 0, True), 2: (0, 0, False), 3: (2, 1, True), 4: (0, 0, False)}
+        assert sorted(r.doc_id for r in drop_leaks(docs, items, block=block).collect()) == [2, 4]

@@ -10,11 +10,11 @@ to word numbers, and these to offsets in the original text.
 The benchmark's windows are made by Spark.  One automaton holds at most
 ``block`` windows (about 4 kB of memory each at ten words); a larger benchmark
 is dealt by window hash into as many automata as it needs, each scanning all
-documents in turn and adding its hits to the row.  So what is broadcast is
-bounded whatever the benchmark's size.
+documents in turn and adding its hits to the row; between two automata the rows are written and the
+first is released.  So what is held at a time is bounded whatever the benchmark's size.
 
-Defined results: null and empty texts have no words; an item without words or
-with a null id is no question; several rows of one item id are one item with
+Defined results: null and empty texts have no words; an item without words
+is no question; the words of an item with a null id are hit like others', but there is no id to list; several rows of one item id are one item with
 all their windows; a document row repeated in the table gives a row each;
 empty tables give no rows, or rows without hits.  Only id and text columns are
 read, so other columns may have any names.
@@ -37,7 +37,7 @@ BLOCK = 60_000
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """(win, ids): each distinct window and the sorted ids of the items that hold it."""
+    """(win, ids): each distinct window and the sorted ids of the items that hold it; items without an id add none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, wins = [], []
@@ -47,7 +47,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                     ids.append(item)
                     wins.append(b" ".join(w[i:i + width]))
             yield pa.RecordBatch.from_pydict({"item": pa.array(ids, pa.string()), "win": pa.array(wins, pa.binary())})
-    return (items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), text_col)
+    return (items.select(F.col(id_col).cast("string"), text_col)
             .mapInArrow(run, "item string, win binary")
             .groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("ids")))
 
@@ -140,6 +140,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         found = found.mapInArrow(_scanner(sent, last), f"doc_id {id_type}, " + (
             "n_words bigint, hit array<int>, items array<string>, spans array<array<int>>" if last
             else "text string, hit array<int>, items array<string>"))
+        if not last:
+            found = cut(found)
+            sent.unpersist()
     return found
 
 
@@ -156,9 +159,13 @@ def leak_report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item, with all their columns: a narrow pass an automaton."""
-    for part in _blocks(items, width, block):
+    parts = _blocks(items, width, block)
+    for k, part in enumerate(parts, 1):
         sent = docs.sparkSession.sparkContext.broadcast([bytes(r.win) for r in part.select("win").collect()])
         docs = docs.mapInArrow(_clean_only(sent, docs.columns.index(text_col)), docs.schema)
+        if k < len(parts):
+            docs = cut(docs)
+            sent.unpersist()
     return docs
 
 

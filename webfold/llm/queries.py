@@ -166,7 +166,7 @@ SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS len
 FROM docs d LEFT JOIN reports USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op13_vector_codes": _codes_sql(),
     "op1_decontamination": rf"""
-WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 wins AS (
   SELECT DISTINCT item_id, unnest([array_to_string(w[i:i + 9], ' ') for i in range(1, greatest(len(w) - 9, 1) + 1)]) AS win,
          least(len(w), 10) AS n
@@ -178,7 +178,7 @@ grams AS (
   FROM docs, sizes WHERE len(w) >= n),
 found AS (SELECT g.doc_id, g.i, g.n, s.item_id FROM grams g JOIN wins s USING (n, win)),
 hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY 1),
-ids AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS ids FROM found GROUP BY 1)
+ids AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id) FILTER (item_id IS NOT NULL)), ',') AS ids FROM found GROUP BY 1)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)""",
