@@ -93,3 +93,13 @@ def test_odd_pages_in_spark(spark, weights):
     assert by[2][0].text == by[3][0].text == by[None][0].text == ""
     assert by[4][0].n_chars == 19 * 50_000 - 1
     assert X.extract_text(spark.createDataFrame([], "page_id bigint, url string, html string"), weights).count() == 0
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    from webfold.llm.dom import read
+    began = time.time()
+    for piece in ("<div>", "<div><p>x", "<span>", "<a>", "<li>"):
+        assert len(read(piece * 100_000 + "text").parent) > 1
+    assert time.time() - began < 30

@@ -50,6 +50,9 @@ class Tree:
         return len(self.parent) - 1
 
 
+_BLOCKS_INLINE = frozenset(CLOSES_P) | SAME_GROUP.keys()
+
+
 def read(html: str | None) -> Tree:
     tree = Tree()
     stack: list[tuple[str, int]] = [("", tree.add(-1, "html"))]  # open elements; inline ones carry their block's node
@@ -57,6 +60,12 @@ def read(html: str | None) -> Tree:
     links = 0  # open <a>
     linked = 0
 
+    depths: dict[str, list[int]] = {}  # places of the open elements of each name
+
+    def push(name: str, node: int) -> None:
+        depths.setdefault(name, []).append(len(stack))
+        stack.append((name, node))
+
     def flush() -> None:
         nonlocal linked
         if pieces:
@@ -72,15 +81,17 @@ def read(html: str | None) -> Tree:
         if any(name not in INLINE for name, _ in stack[depth:]):
             flush()
         links -= sum(name == "a" for name, _ in stack[depth:])
+        for name, _ in stack[depth:]:
+            depths[name].pop()
         del stack[depth:]
 
-    def find(names: tuple[str, ...], stop: frozenset | tuple) -> int:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in names:
-                return k
-            if stack[k][0] in stop:
-                break
-        return 0
+    def deepest(names) -> int:
+        return max((d[-1] for name in names if (d := depths.get(name))), default=0)
+
+    def find(names, stop) -> int:
+        """Place of the innermost open element of ``names``, 0 if one of ``stop`` is nearer or there is none."""
+        k = deepest(names)
+        return k if k and k >= deepest(stop) else 0
 
     def words(text: str) -> None:
         nonlocal linked
@@ -107,7 +118,7 @@ def read(html: str | None) -> Tree:
         if m[1]:
             if tag in ("br", "p") and not find((tag,), ()):
                 flush()
-            elif k := find((tag,), frozenset() if tag not in INLINE else CLOSES_P | SAME_GROUP.keys()):
+            elif k := find((tag,), () if tag not in INLINE else _BLOCKS_INLINE):
                 close(k)
             continue
         if tag in DROPPED:
@@ -131,7 +142,7 @@ def read(html: str | None) -> Tree:
                     if k := find(("a",), CLOSES_P):
                         close(k)
                     links += 1
-                stack.append((tag, stack[-1][1]))
+                push(tag, stack[-1][1])
             continue
         if tag in CLOSES_P and (k := find(("p",), ("button", "td", "th", "table", "object", "caption"))):
             close(k)
@@ -140,7 +151,7 @@ def read(html: str | None) -> Tree:
             while k := find(SAME_GROUP[tag], scope):
                 close(k)
         flush()
-        stack.append((tag, tree.add(stack[-1][1], tag, m[3])))
+        push(tag, tree.add(stack[-1][1], tag, m[3]))
     if at < len(html):
         words(html[at:])
     flush()
