@@ -83,3 +83,13 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = dedup_lines(documents(spark, [(1, "a b c d\na b c e")]).withColumn("x", F.lit(1)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_document_of_many_lines(spark):
+    from pyspark.sql import functions as F
+
+    from webfold.llm.line_dedup import dedup_lines
+    line = F.transform(F.sequence(F.lit(0), F.lit(199_999)), lambda k: F.when(k % 2 == 0, F.lit("the same line again")).otherwise(F.concat(F.lit("own"), k.cast("string"))))
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.array_join(line, "\n").alias("text"))
+    r = dedup_lines(docs).select("n_lines", "n_kept", F.length("text").alias("n"), F.substring("text", 1, 30).alias("head")).first()
+    assert (r.n_lines, r.n_kept, r.head) == (200_000, 100_001, "the same line again\nown1\nown3\n")

@@ -141,9 +141,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "gone"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("digest"))
     joined = texts.join(gone, texts["doc_id"].eqNullSafe(gone["_id"]) & (texts["digest"] == gone["_digest"]), "left")
-    every = F.split("text", "\n")
-    kept = F.filter(F.transform(every, lambda x, i: F.struct(x.alias("line"), i.alias("place"))), lambda s: ~F.array_contains("gone", s["place"]))
+    # the guard keeps the split out of what reads it, so that a text is split once and not once a line
+    joined = joined.withColumn("every", F.when(F.spark_partition_id() >= 0, F.split("text", "\n")))
+    every = F.col("every")
+    stays = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), "gone")  # a hash set, so linear in the lines
+    kept = F.transform(stays, lambda place: F.get(every, place))
     n_lines = F.coalesce(F.size(F.filter(every, lambda x: x.rlike("[^ \t\r\x0b\x0c]"))), F.lit(0))
     return joined.select(
         "doc_id", n_lines.cast("bigint").alias("n_lines"), (n_lines - F.coalesce(F.size("gone"), F.lit(0))).cast("bigint").alias("n_kept"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda s: s["line"]), "\n")).alias("text"))
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
