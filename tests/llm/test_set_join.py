@@ -136,3 +136,14 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert got == {k: 100 for k in range(100, 161)} | {k: 1 for k in range(1, 40)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_many_rows_without_id(spark):
+    """Each with a text of its own: they meet no text but their own."""
+    from pyspark.sql import functions as F
+
+    from webfold.llm.set_join import near_duplicates
+    words = F.transform(F.sequence(F.lit(0), F.lit(29)), lambda k: F.concat(F.lit("w"), (F.col("id") * 30 + k).cast("string")))
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.array_join(words, " ").alias("text"))
+    r = near_duplicates(docs).agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"), F.count("component_id").alias("c")).first()
+    assert (r.n, r.s, r.c) == (20_000, 26 * 20_000, 0)
