@@ -1,4 +1,4 @@
-"""K1/K3/K4/K5/K6/K7: writers.
+"""K1/K3/K4/K5/K6/K7: writers (K1 as files: :mod:`webfold.sinks.files`).
 
 All writes are task-side and committed by Spark's output committer (a failed
 task's files are discarded), so they survive executor loss.  Paths can be any
@@ -64,23 +64,9 @@ def write_pages(crawled: DataFrame, path: str, buckets: int = 64) -> None:
      .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
-def export_markdown_files(crawled: DataFrame, base_dir: str) -> None:
-    """K1 as files: one ``<base>/<relative_path>`` per page, written on the
-    executors (``foreachPartition``); last writer wins on a path collision,
-    as in the reference.  For local or mounted shared folders."""
-    def write_part(rows):
-        import os
-        for r in rows:
-            p = os.path.join(base_dir, r["relative_path"])
-            os.makedirs(os.path.dirname(p), exist_ok=True)
-            with open(p, "w", encoding="utf-8") as fh:
-                fh.write(r["markdown_content"])
-
-    crawled.select("relative_path", "markdown_content").foreachPartition(write_part)
-
-
 def write_errors(errors: DataFrame, path: str) -> None:
-    """K7: error rows as CSV (same conventions as the manifest)."""
+    """K7: error rows as CSV (same conventions as the manifest): as they are, or whole with job and time
+    by :func:`webfold.streaming.delivery.error_rows`."""
     errors.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
