@@ -322,12 +322,14 @@ def url_filters(df: DataFrame, src: str, domains: str | None = None, prefix: str
     return df.drop(*url_part_columns(p))
 
 
-def resolve_urls(df: DataFrame, base: str, ref: str, out: str) -> DataFrame:
+def resolve_urls(df: DataFrame, base: str, ref: str, out: str, base_parts: str | None = None) -> DataFrame:
     """U8: resolve column ``ref`` against column ``base`` (RFC 3986 §5.2, as
     Go ``ResolveReference``).  A ref starting with '#' or an unparseable side
-    gives null.  The result is not normalised; run :func:`normalize_urls`."""
-    b, r = f"_{out}_b", f"_{out}_r"
-    df = parse_urls(parse_urls(df, base, b), ref, r)
+    gives null.  The result is not normalised; run :func:`normalize_urls`.
+    ``base_parts`` names the prefix of a base that :func:`parse_urls` has read
+    already (:data:`BASE_PARTS`): many links of a page share one parse."""
+    b, r = base_parts or f"_{out}_b", f"_{out}_r"
+    df = parse_urls(df if base_parts else parse_urls(df, base, b), ref, r)
     rp, bp = F.col(f"{r}_rawpath"), F.col(f"{b}_rawpath")
 
     def q(x):
@@ -360,3 +362,7 @@ def resolve_urls(df: DataFrame, base: str, ref: str, out: str) -> DataFrame:
     ok = ~F.col(ref).startswith("#") & F.col(f"{b}_ok") & F.col(f"{r}_ok")
     df = df.withColumn(out, stop_pushdown(F.when(ok, res)))
     return df.drop(*url_part_columns(b), *url_part_columns(r), f"{out}_m")
+
+
+#: The parts of a base URL that a reference is resolved with.
+BASE_PARTS = ("ok", "scheme", "has_auth", "userinfo", "hostport", "rawpath", "has_query", "query")

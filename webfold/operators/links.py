@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webfold.functions import text as T
-from webfold.functions.urls import (allowed_domains, domain_of_host, normalize_urls, parse_urls,
+from webfold.functions.urls import (BASE_PARTS, allowed_domains, domain_of_host, normalize_urls, parse_urls,
                                     resolve_urls, url_part_columns, is_blacklisted_path, is_article_path)
 from webfold.operators.extract import preclean_html
 
@@ -34,9 +34,11 @@ def page_links(pages: DataFrame, key: str = "page_id", url_col: str = "url", htm
     df = normalize_urls(df, "_page_url", "src_url").drop("_page_url")
     # links stand relative to <base href> where a page has one; an empty one resolves to the page itself
     df = resolve_urls(df, "src_url", "_base", "_base_abs")
-    df = df.select(key, "src_url", F.coalesce("_base_abs", "src_url").alias("_from"), F.posexplode("_hrefs").alias("position", "_raw"))
+    # the base is parsed once a page; its parts go with the links
+    df = parse_urls(df.withColumn("_from", F.coalesce("_base_abs", "src_url")), "_from", "_f")
+    df = df.select(key, "src_url", "_from", *[f"_f_{part}" for part in BASE_PARTS], F.posexplode("_hrefs").alias("position", "_raw"))
     df = df.withColumn("href", F.regexp_replace(T.decode_entities(T.quoted_attr_value(F.col("_raw"))), HREF_TRIM, ""))
-    df = resolve_urls(df, "_from", "href", "abs_url")
+    df = resolve_urls(df, "_from", "href", "abs_url", base_parts="_f")
     df = normalize_urls(df, "abs_url", "dst_url")
     return df.filter(F.col("dst_url").isNotNull() & F.col("src_url").isNotNull()).select(
         key, "src_url", F.col("position").cast("int").alias("position"), "href", "abs_url", "dst_url")
