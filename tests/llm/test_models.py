@@ -71,3 +71,40 @@ def test_labels_and_metadata_are_no_inputs_of_a_toxicity_score(spark, given_tabl
     model = toxicity.train(docs, labels, per_class=200, epochs=1)
     assert model.score("same text") == model.score("same text")
     assert len(model.buckets) == len(model.weights)
+
+
+def test_all_unlabelled_rows_take_part_in_the_exchange(spark, monkeypatch):
+    """Far more rows than were labelled; those of a rare source are given too, and a refit of them is that of all rows at once."""
+    import numpy as np
+    n, rare = 30_000, 12
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("Good words stand here in line "), F.col("id").cast("string"), F.lit(" and end well."))).otherwise(
+            F.concat(F.lit("#### $$$ !!! 1234 "), F.col("id").cast("string"), F.lit(" ||| %%%"))).alias("text"),
+        F.lit("en").alias("lang"), F.when(F.col("id") % (n // rare) == 1, "rare").when(F.col("id") % 2 == 0, "journal").otherwise("spam").alias("source"), F.lit(40).alias("n_chars"))
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (1 - F.col("id") % 2).cast("int").alias("quality"))
+    seen = []
+    real = quality.refit
+
+    def spy(models, labelled, given, counts, **kw):
+        out = real(models, labelled, given, counts, **kw)
+        seen.append((counts, given.where("source = 'rare' AND given1 = 0").count(), given, labelled, models, out))
+        return out
+    monkeypatch.setattr(quality, "refit", spy)
+    got = quality.quality(docs, labels)
+    assert got.where((F.col("predicted") != 1 - F.col("doc_id") % 2)).count() == 0
+    counts, rare_given, given, labelled, before, after = seen[-1]
+    assert min(counts) > 2_000 and rare_given > 0 and sum(c[0] for c, *_ in seen) > 8_000
+    rows = given.where("given0 IS NOT NULL").collect()
+    x = np.array([r.stats for r in rows], float)
+    y = np.array([r.given0 for r in rows], float)
+    m, (x0, y0) = before[0], labelled[0]
+    w = np.append(m.weights, m.bias)
+    weight = min(1.0, len(y0) / len(y))
+    for _ in range(quality.NEWTON_STEPS):
+        z, z0 = quality._design(m, x), quality._design(m, x0)
+        p, p0 = (1 / (1 + np.exp(-np.clip(a @ w, -30, 30))) for a in (z, z0))
+        h = (z0 * (p0 * (1 - p0) + 1e-9)[:, None]).T @ z0 + weight * (z * (p * (1 - p) + 1e-9)[:, None]).T @ z
+        ridge = np.append(np.ones(len(w) - 1), 1e-6)
+        step = np.linalg.solve(h + np.diag(ridge), z0.T @ (y0 - p0) + weight * z.T @ (y - p) - ridge * w)
+        w = w + step * min(1.0, 5 / (np.abs(step).max() + 1e-9))
+    assert np.allclose(np.append(after[0].weights, after[0].bias), w, atol=1e-2)

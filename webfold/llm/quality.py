@@ -4,9 +4,12 @@ The text view sees statistics of the whole text (symbols, case, repetition,
 word and line lengths); the metadata view sees language, source and length as
 recorded.  Both are logistic regressions.  They start from a bounded sample of
 labelled rows (``per_class`` each, in expectation, chosen by a hash of the id)
-and take turns over ``ROUNDS`` rounds on a bounded pool of unlabelled rows
-(``pool``): the rows of which one view is most confident become training rows of
-the other, with its label.  On labelled rows that neither view has trained on,
+and take turns over ``ROUNDS`` rounds on all unlabelled rows: the rows of which
+one view is most confident become training rows of the other, with its label.
+Rounds run in Spark: both views score the written features, quantiles tell the
+surest rows, and each Newton step of a new fit sums its terms over all rows that were
+given, which together weigh at most as much as the labelled ones.  Only models
+and such sums pass through the driver.  On labelled rows that neither view has trained on,
 each view's log-odds are calibrated, and a last regression combines the two
 calibrated views (a view that tells nothing gets no weight).  The models are a
 few dozen numbers; every document is scored.
@@ -100,7 +103,7 @@ class Logistic:
 
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 30) -> Logistic:
     """Regularised logistic regression by Newton steps."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 0.02)  # a value that the sample lacks must not weigh without bound
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     ridge = np.full(z.shape[1], penalty)
     ridge[-1] = 1e-6
@@ -127,29 +130,127 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.combined.logit(both), -35, 35)))
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS,
+SURE = float(np.log(9))  # log-odds of a confident row: 0.9, or 0.1 below zero
+NEWTON_STEPS = 8
+
+
+def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Text and metadata features of the columns lang, source, n_chars, stats."""
+    lang, source, n_chars, stats = (batch.column(c).to_pylist() for c in ("lang", "source", "n_chars", "stats"))
+    return np.array(stats, float).reshape(batch.num_rows, TEXT_FEATURES), meta_features(lang, source, n_chars)
+
+
+_STATE = "tie double, lang string, source string, n_chars bigint, stats array<float>, given0 int, given1 int"
+
+
+def _surest(models):
+    """Adds each view's log-odds, told apart among equals by a hash of the id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            tie = batch.column("tie").to_numpy() * 1e-6
+            logits = [pa.array(m.logit(x) + tie) for m, x in zip(models.value, _views(batch))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *logits], names=[*batch.schema.names, "s0", "s1"])
+    return run
+
+
+def newton_terms(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Upper triangle of the Hessian and the gradient of the likelihood at ``w``, as one vector."""
+    p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+    hessian = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z
+    return np.concatenate([hessian[np.triu_indices(len(w))], z.T @ (y - p)])
+
+
+def _design(model: Logistic, x: np.ndarray) -> np.ndarray:
+    return np.column_stack([(x - model.mean) / model.scale, np.ones(len(x))])
+
+
+def _newton(models):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [0.0, 0.0]
+        for batch in slices(batches):
+            for k, x in enumerate(_views(batch)):
+                y = batch.column(f"given{k}").to_numpy(zero_copy_only=False).astype(float)  # null is NaN
+                m = models.value[k]
+                mine = ~np.isnan(y)
+                sums[k] = sums[k] + newton_terms(_design(m, x[mine]), y[mine], np.append(m.weights, m.bias))
+        for k in (0, 1):
+            if np.ndim(sums[k]):
+                at = np.flatnonzero(sums[k])
+                yield pa.RecordBatch.from_pydict({"view": pa.array(np.full(len(at), k), pa.int32()), "at": pa.array(at, pa.int32()), "total": pa.array(sums[k][at])})
+    return run
+
+
+def refit(models: list[Logistic], labelled: list[tuple[np.ndarray, np.ndarray]], given: DataFrame, counts: list[int], penalty: float = 1.0) -> list[Logistic]:
+    """Newton steps on the labelled rows and all rows that were given to a view, which weigh together at most as much as the labelled."""
+    spark = given.sparkSession
+    for _ in range(NEWTON_STEPS):
+        sent = spark.sparkContext.broadcast(models)
+        sums = (given.where("given0 IS NOT NULL OR given1 IS NOT NULL").mapInArrow(_newton(sent), "view int, at int, total double")
+                .groupBy("view", "at").agg(F.sum("total").alias("total")).collect())  # at most a triangle of features a view
+        sent.unpersist()
+        moved, new = 0.0, []
+        for k, (m, (x, y)) in enumerate(zip(models, labelled)):
+            w = np.append(m.weights, m.bias)
+            terms = newton_terms(_design(m, x), y, w)
+            extra = np.zeros_like(terms)
+            for r in sums:
+                if r.view == k:
+                    extra[r.at] = r.total
+            terms = terms + extra * min(1.0, len(y) / max(1, counts[k]))
+            d = len(w)
+            hessian = np.zeros((d, d))
+            hessian[np.triu_indices(d)] = terms[:-d]
+            hessian = hessian + np.triu(hessian, 1).T
+            ridge = np.full(d, penalty)
+            ridge[-1] = 1e-6
+            step = np.linalg.solve(hessian + np.diag(ridge), terms[-d:] - ridge * w)
+            w = w + step * min(1.0, 5 / (np.abs(step).max() + 1e-9))
+            moved = max(moved, float(np.abs(step).max()))
+            new.append(Logistic(m.mean, m.scale, w[:-1], float(w[-1])))
+        models = new
+        if moved < 1e-4:
+            break
+    return models
+
+
+def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, unlabelled: DataFrame, rounds: int = ROUNDS,
              share: float = 0.05) -> tuple[Logistic, Logistic]:
-    """Each round, every view hands the other the pool rows it is surest of, ``share`` of the pool in the classes' proportion."""
-    sets = [[(v, y)] for v in views]
-    free = [np.ones(len(pool[0]), bool), np.ones(len(pool[0]), bool)]
+    """Each round, every view hands the other the rows it is surest of, ``share`` of all unlabelled rows in the classes' proportion.
+
+    ``unlabelled`` (the columns of :data:`_STATE`, on a checkpoint) is scored whole each round; what is surest is told by
+    approximate quantiles of the rows that are still free, and a row is given to a view once.
+    """
+    spark = unlabelled.sparkSession
+    labelled = [(v, y) for v in views]
     models = [fit(v, y) for v in views]
-    for _ in range(rounds):
+    n, counts = unlabelled.count(), [0, 0]
+    state, take = unlabelled, share * n
+    for _ in range(rounds if n else 0):
+        sent = spark.sparkContext.broadcast(models)
+        scored = cut(state.mapInArrow(_surest(sent), _STATE + ", s0 double, s1 double"))
+        sent.unpersist()
+        bounds = []
+        for k in (0, 1):  # view k gives to the other
+            free = max(1, n - counts[1 - k])
+            ranks = [min(1.0, take * (1 - y.mean()) / free), max(0.0, 1 - take * y.mean() / free)]
+            bounds.append(F.percentile_approx(F.when(F.col(f"given{1 - k}").isNull(), F.col(f"s{k}")), ranks, 10_000).alias(f"b{k}"))
+        b = scored.agg(*bounds).first()
+        given = {}
         for k in (0, 1):
-            p = 1 / (1 + np.exp(-np.clip(models[k].logit(pool[k]), -35, 35))) if len(pool[k]) else np.empty(0)
-            at = np.flatnonzero(free[1 - k])
-            take = int(share * len(p))
-            high = at[np.argsort(-p[at], kind="stable")][:int(round(take * y.mean()))]
-            low = at[np.argsort(p[at], kind="stable")][:take - len(high)]
-            high, low = high[p[high] > 0.9], low[p[low] < 0.1]
-            chosen = np.concatenate([high, low])
-            if len(chosen):
-                free[1 - k][chosen] = False
-                sets[1 - k].append((pool[1 - k][chosen], np.concatenate([np.ones(len(high)), np.zeros(len(low))])))
-        models = [fit(np.concatenate([x for x, _ in s]), np.concatenate([t for _, t in s])) for s in sets]
+            old, s = F.col(f"given{1 - k}"), F.col(f"s{k}")
+            low, high = b[f"b{k}"] or (None, None)
+            if low is None:
+                given[f"given{1 - k}"] = old
+                continue
+            given[f"given{1 - k}"] = F.when(old.isNotNull(), old).when((s >= high) & (s > SURE), 1).when((s <= low) & (s < -SURE), 0)
+        state = scored.withColumns(given).drop("s0", "s1")
+        c = state.agg(F.count("given0").alias("c0"), F.count("given1").alias("c1")).first()
+        counts = [c.c0, c.c1]
+        models = refit(models, labelled, state, counts)
     return models[0], models[1]
 
 
-def train(features: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 4000, pool: int = 8000) -> Model:
+def train(features: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 4000) -> Model:
     """``features`` is the table of :func:`text_statistics`; a quarter of the labelled sample calibrates."""
     usable = (labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1) & ~held_out())
               .groupBy("doc_id").agg(F.max(label_col).alias("label")))
@@ -159,8 +260,8 @@ def train(features: DataFrame, labels: DataFrame, label_col: str = "quality", pe
     draw = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 30)) / (1 << 30)
     chosen = usable.where(draw < F.when(F.col("label") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0])))
     rows = features.join(F.broadcast(chosen), "doc_id").orderBy("doc_id").collect()
-    extra = (features.where(F.col("doc_id").isNotNull() & ~held_out()).join(usable.select("doc_id"), "doc_id", "left_anti")
-             .where(draw < min(1.0, pool / max(1, features.count()))).orderBy("doc_id").collect())
+    unlabelled = cut(features.where(F.col("doc_id").isNotNull() & ~held_out()).join(usable.select("doc_id"), "doc_id", "left_anti").select(
+        draw.alias("tie"), "lang", "source", "n_chars", "stats", F.lit(None).cast("int").alias("given0"), F.lit(None).cast("int").alias("given1")))
 
     def matrix(rs):
         text = np.array([r.stats for r in rs], float).reshape(len(rs), TEXT_FEATURES)
@@ -173,7 +274,7 @@ def train(features: DataFrame, labels: DataFrame, label_col: str = "quality", pe
     learn, check = (~aside, aside) if aside.any() else (np.ones(len(y), bool),) * 2
     if len(set(y)) < 2:
         return Model(None, None, None)
-    models = co_train((views[0][learn], views[1][learn]), y[learn], matrix(extra))
+    models = co_train((views[0][learn], views[1][learn]), y[learn], unlabelled)
     logits = [m.logit(v[check])[:, None] for m, v in zip(models, views)]
     calibrated = tuple(fit(x, y[check]) for x in logits)
     combined = fit(np.column_stack([c.logit(x) for c, x in zip(calibrated, logits)]), y[check])
