@@ -1,16 +1,16 @@
-"""Best-fit packing of token sequences by a configuration linear program.
+"""Best-fit packing of token sequences by configurations priced as in their linear program.
 
 Documents are tokenised where they lie and cut into pieces of at most
 ``capacity`` ids; only ids' counts and checksums go on.  The pieces' lengths
-make a histogram of at most ``capacity`` counts, whatever the corpus' size.  On
-it the configuration LP (a variable per multiset of lengths that fits a
-sequence, a covering constraint per length) is solved by multiplicative
-weights: the weight of a length falls exponentially with the share of its
-demand already covered, the configuration of largest weight is priced by
-unbounded-knapsack dynamic programming, and taken in a step that covers at most
-a fixed share of any demand.  Steps are rounded down to whole sequences; what
-rounding and the last steps leave is placed best-fit decreasing, again on the
-histogram.  The result is a list of (configuration, count) whose size depends
+make a histogram of at most ``capacity`` counts, whatever the corpus' size.  Over it
+stands the configuration LP (a variable per multiset of lengths that fits a
+sequence, a covering constraint per length).  It is approached, not solved: the price of a
+length is its size times a factor that falls exponentially with the share of its
+demand already covered, the configuration of largest price is found by
+unbounded-knapsack dynamic programming and taken at once in whole sequences, for
+at most a fixed share of any demand.  No fractional cover is averaged, so there is no LP
+value; the README tells how far the result is from the lower bound.  What the steps
+leave is placed best-fit decreasing, again on the histogram.  The result is a list of (configuration, count) whose size depends
 on ``capacity`` and ``rounds`` alone, so it is broadcast.
 
 A piece finds its place by its rank among pieces of its length.  Ranks are
