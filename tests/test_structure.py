@@ -68,3 +68,10 @@ def test_text_of_nested_pages(spark):
 def test_one_row_a_hash_though_ids_repeat(spark):
     df = spark.createDataFrame([(3, "B"), (5, "A"), (5, "B"), (6, None), (7, None)], "page_id long, content_hash string")
     assert sorted(map(tuple, content_dedup(df).collect()), key=str) == [(3, "B"), (5, "A"), (6, None)]
+
+
+def test_a_url_is_visited_once(spark):
+    from webfold.operators.pages import first_captures
+    rows = [(4, "https://s.test/a?utm_source=x"), (2, "https://S.test/a"), (3, "https://s.test/b"), (9, "https://s.test/a#f"), (5, "://"), (6, "://"), (7, None)]
+    got = first_captures(spark.createDataFrame([(k, u, "h") for k, u in rows], "page_id long, url string, html string")).collect()
+    assert sorted(r.page_id for r in got) == [2, 3, 5, 6, 7]

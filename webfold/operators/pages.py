@@ -16,7 +16,7 @@ from pyspark.sql.types import MapType
 from webfold.constants import DEFAULT_MIN_WORD_COUNT, EXTRACTION_METHOD, MANIFEST_STATUS_OK
 from webfold.functions import text as T
 from webfold.functions.markdown import markdown
-from webfold.functions.urls import relative_paths
+from webfold.functions.urls import normalize_urls, relative_paths
 
 # A fixed crawl time keeps runs repeatable; callers pass their own.
 DEFAULT_CRAWLED_AT = _dt.datetime(2026, 1, 1, 0, 0, 0)
@@ -73,6 +73,18 @@ def dedup_by_url(df: DataFrame, url: str = "norm_url", order: str = "page_id") -
     return agg.select(url, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
+def first_captures(pages: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
+    """A URL is visited once: of captures with the same normalised URL the one of the lowest ``key`` stays, before
+    anything is extracted.  Captures whose URL does not parse stay, as errors of their own.
+
+    Works on (key, URL) alone; only the keys that go meet the pages, and AQE broadcasts them where they are few.
+    """
+    narrow = normalize_urls(pages.select(key, url), url, "_norm").filter(F.col("_norm").isNotNull()).select(key, "_norm")
+    several = narrow.groupBy("_norm").agg(F.min(key).alias("_first"), F.count("*").alias("_n")).filter(F.col("_n") > 1).drop("_n")
+    gone = narrow.join(several, "_norm").filter(F.col(key) != F.col("_first")).select(key)
+    return pages.join(gone, key, "left_anti")
+
+
 def crawled_pages(extracted: DataFrame, min_word_count: int = DEFAULT_MIN_WORD_COUNT,
                   crawled_at=DEFAULT_CRAWLED_AT, http_status: Column | None = None,
                   job_id: Column | None = None, converter=None) -> DataFrame:

@@ -679,4 +679,4 @@ def q_stream_counters(spark, d):
 
 # ------------------------------------------------------------------ queries of other modules, registered as they load
 
-from webfold.plans import aliases, deliveries, menus, schedules, sitemap_trees, structure, subtrees, visits  # noqa: E402,F401
+from webfold.plans import aliases, captures, deliveries, menus, schedules, sitemap_trees, structure, subtrees, visits  # noqa: E402,F401
