@@ -98,12 +98,12 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _attach(docs: DataFrame, info: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``info`` (at, ...) with the text of the row ``at`` (its id, and 60 bits of its text's md5, so that equal
+    """``info`` (rep, hash, ...) with the text of document ``rep`` (``hash``: 60 bits of its text's md5, so that equal
     ids with different texts do not meet): broadcast if few rows, else a shuffle join."""
-    side = sized(info.select(F.col("at.id").alias("_at"), F.col("at.hash").alias("_hash"), *[c for c in info.columns if c != "at"]))
+    side = sized(info)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _bits(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("_md5"))
-    return (texts.join(side, texts["_id"].eqNullSafe(side["_at"]) & (texts["_md5"] == side["_hash"]))
-            .select("_text", *[c for c in info.columns if c != "at"]))
+    return (texts.join(side, texts["_id"].eqNullSafe(side["rep"]) & (texts["_md5"] == side["hash"]))
+            .select("_text", *[c for c in info.columns if c not in ("rep", "hash")]))
 
 
 def _bits(md5_hex: Column) -> Column:
@@ -228,9 +228,10 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     id_type = to_arrow_type(named.schema["doc_id"].dataType)
     profiles = cut(named.mapInArrow(profile, f"doc_id {kind}, md5 binary, row bigint, n bigint, digest binary, keys array<bigint>, tokens array<bigint>, counts array<bigint>"))
     rows = profiles.where("row IS NOT NULL").select("doc_id", "md5", "row", "n", "digest", "keys")
-    nodes = cut(rows.where("n > 0").groupBy("digest").agg(
-        F.min("row").alias("node"), F.min("doc_id").alias("rep"),
-        F.min(F.struct(F.col("doc_id").alias("id"), _bits(F.hex("md5")).alias("hash"))).alias("at"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    # the smallest id that is not null, if there is one, and the text of its row
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("rep"), _bits(F.hex("md5")).alias("hash"))).alias("at")
+    nodes = cut(rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), first, F.first("n").alias("n"), F.first("keys").alias("keys"))
+                .select("digest", "node", "at.rep", "at.hash", "n", "keys"))
 
     # groups
     keyed = nodes.select("node", "n", F.posexplode("keys").alias("k", "key"))
@@ -239,15 +240,15 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
               .select("node", F.xxhash64("k", "key", F.pmod(F.xxhash64("node", "k"), F.greatest(
                   F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("tokens") / BLOCK_TOKENS)))).alias("block"))
               .groupBy("node").agg(F.collect_list("block").alias("blocks")))
-    members = cut(nodes.select("at", "node", "digest").join(blocks, "node").select("at", "node", "digest", "blocks"))
+    members = cut(nodes.select("rep", "hash", "node", "digest").join(blocks, "node").select("rep", "hash", "node", "digest", "blocks"))
     near = (_attach(docs, members, id_col, text_col).mapInArrow(_block_members, "block bigint, node bigint, set binary")
             .groupBy("block").applyInArrow(_link_block, "a bigint, b bigint"))
     grouped = components(near)
     sizes = grouped.groupBy("label").agg(F.count("*").alias("size"))
     # a group of several nodes has a negative number, so that single nodes query them and not the reverse
     several = cut(grouped.join(sizes, "label").where("size > 1").select("node", (-1 - F.col("label")).alias("grp")))
-    located = cut(nodes.select("rep", "at", "node", "digest", "n").join(several, "node", "left")
-                  .select("rep", "at", "node", "digest", F.coalesce("grp", "node").alias("grp"), "n"))
+    located = cut(nodes.select("rep", "hash", "node", "digest", "n").join(several, "node", "left")
+                  .select("rep", "hash", "node", "digest", F.coalesce("grp", "node").alias("grp"), "n"))
 
     # token-group matrix
     frequent = (profiles.where("tokens IS NOT NULL").select(F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
@@ -257,7 +258,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sent = spark.sparkContext.broadcast((np.array([t for t, _ in hot], np.int64), np.array([c for _, c in hot], np.int64)))
     # written once, so that both sides of the join below read one table and share one exchange
     path = shared_folder(spark, "prefixes")
-    _attach(docs, located.drop("rep"), id_col, text_col).mapInArrow(_prefixes(sent), "token bigint, node bigint, grp bigint, n bigint").write.parquet(path)
+    _attach(docs, located, id_col, text_col).mapInArrow(_prefixes(sent), "token bigint, node bigint, grp bigint, n bigint").write.parquet(path)
     prefix = spark.read.parquet(path).repartition("token")
     # "any" keeps this side's columns those of the query side
     matrix = prefix.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("node").alias("any"))
@@ -277,7 +278,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     # exact comparison
     used = pairs.select("node").unionByName(pairs.select(F.col("other").alias("node"))).distinct()
-    sets = _attach(docs, cut(located.select("at", "node", "digest").join(used, "node", "left_semi").select("at", "node", "digest")), id_col, text_col)
+    sets = _attach(docs, cut(located.select("rep", "hash", "node", "digest").join(used, "node", "left_semi").select("rep", "hash", "node", "digest")), id_col, text_col)
     sets = cut(sets.mapInArrow(_sets, "node bigint, set binary").dropDuplicates(["node"]))
     links = (pairs.join(sets.withColumnRenamed("set", "x"), "node")
              .join(sets.select(F.col("node").alias("other"), F.col("set").alias("y")), "other")
