@@ -32,12 +32,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows of fixed-width columns.
+def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` (:data:`BROADCAST_ROWS`) rows of fixed-width columns.
 
     ``df`` must be cheap to count (a checkpoint).  A larger one is returned as
     it is and joins by a shuffle.
     """
+    rows = BROADCAST_ROWS if rows is None else rows
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
