@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import ctypes
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webfold.functions.batches import give_back, slices  # noqa: F401  (the operators take them from here)
 from webfold.session import ensure_checkpoint_dir
 
 #: Rows (of a few numbers each) up to which a side is broadcast; beyond, a shuffle join is used.
@@ -42,22 +40,6 @@ def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20, rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of about ``size`` bytes, so that what a task makes of one stays small in memory."""
-    for batch in batches:
-        step = max(1, min(rows, size * batch.num_rows // max(1, batch.nbytes)))
-        for low in range(0, batch.num_rows, step):
-            yield batch.slice(low, step)
-    give_back()
-
-
-def give_back() -> None:
-    """Return freed memory to the system: a Python worker lives on after its task, beside the executor's heap."""
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
-        trim(0)
-
-
 #: Byte table of the word rule [0-9a-z\x80-￿]: A-Z lower-cased, other ASCII to a space.
 #: In UTF-8 every byte of a non-ASCII character is >= 0x80, so the rule on characters is a rule on bytes.
 WORD_BYTES = bytes(

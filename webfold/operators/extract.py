@@ -23,13 +23,16 @@ text, word count, excerpt, metadata):
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from webfold.constants import HTML_CONTENT_TYPES
 from webfold.functions import text as T
+from webfold.functions.batches import strings
 from webfold.functions.dom import main_content
 from webfold.functions.urls import normalize_urls, resolve_urls
 
@@ -62,11 +65,11 @@ def _attr_value(tag: Column, attr_rx: str) -> Column:
 
 
 def main_markup(html: Column) -> Column:
-    """The main content's markup, by a stack of open elements (Arrow batches)."""
-    def many(pages: pd.Series) -> pd.Series:
-        return pd.Series([main_content(h) for h in pages], dtype=object)
+    """The main content's markup, by a stack of open elements (slices of Arrow batches)."""
+    def many(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return strings(main_content, ((p,) for p in pages))
     # not inlined into what reads it, so a page is read once
-    return F.pandas_udf(many, StringType()).asNondeterministic()(html)
+    return F.arrow_udf(many, StringType()).asNondeterministic()(html)
 
 
 def extract_articles(pages: DataFrame, url_col: str = "url", html_col: str = "html",
