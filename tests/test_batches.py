@@ -1,5 +1,9 @@
 """Python functions over Arrow batches: what they hold follows a slice, not the batch that Spark sends."""
+import os
+import subprocess
+import sys
 import tracemalloc
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -70,3 +74,36 @@ def test_rows_keep_their_results_over_slices_and_batches(spark):
         F.concat_ws("\n", F.concat(F.lit("page "), F.col("page_id").cast("string")), F.when(F.col("page_id") % 50 > 0, F.rtrim(F.repeat(F.lit("words "), (F.col("page_id") % 50).cast("int"))))))
     got = out.agg(F.count("*").alias("n"), F.count_if(F.col("text_content") == text).alias("texts"), F.count_if(F.replace("markdown", F.lit("\n\n"), F.lit("\n")) == text).alias("marks")).first()
     assert tuple(got) == (n, n, n)
+
+
+UNEVEN = """
+import re
+import pyarrow as pa
+from webfold.functions.batches import strings
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+def batch(n):  # rows of 1,000 bytes, as bytes of Python's, which is how a worker reads them
+    offsets = pa.array(range(0, 1000 * n + 1, 1000), pa.int32()).buffers()[1]
+    return (pa.Array.from_buffers(pa.string(), n, [None, offsets, pa.py_buffer(b"x" * (1000 * n))]),)
+
+def batches():
+    for n in (30_000, 28_000, 28_000, 1):
+        yield batch(n)
+        kept.append(bytes(100_000))  # what a task keeps between batches
+
+list(strings(lambda x: x[:4], iter([batch(1)])))  # imports
+kept, before = [], held()
+for part in strings(lambda x: x[:4], batches()):
+    last = held()
+print(last - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory is read from Linux's /proc")
+def test_batches_leave_no_gaps_in_memory():
+    """In a process of its own: after batches of 30 and 28 MB, one of a row holds little more than itself."""
+    run = subprocess.run([sys.executable, "-c", UNEVEN], cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert float(run.stdout) < 15, run.stdout
