@@ -74,3 +74,20 @@ def test_as_the_sink_of_a_stream(spark, tmp_path):
     assert q.exception() is None
     assert urls(D.committed(spark, f"{tmp_path}/out", "pages")) == ["p0", "p1"]
     assert urls(D.committed(spark, f"{tmp_path}/out", "dead_letters")) == ["p9"]
+
+
+def test_a_delivery_asks_for_no_python_workers_but_those_of_its_functions(spark, tmp_path, monkeypatch):
+    """Rows of Python lists go through workers of their own, which live on beside the others of an executor."""
+    batches = [batch(spark, [page(1), page(2, 500)]), batch(spark, [page(2, 500), page(3)])]
+    out, write = str(tmp_path), D.deliver(str(tmp_path), 20, max_attempts=2)
+
+    def refused(*args, **kwargs):
+        raise AssertionError("rows from Python")
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    assert D.to_redeliver(spark, out).dtypes == [("url", "string"), ("attempts", "int")] and D.to_redeliver(spark, out).count() == 0
+    for k, b in enumerate(batches):
+        write(b, k)
+    assert D.committed_batches(spark, out) == [0, 1] and urls(D.committed(spark, out, "pages")) == ["p1", "p3"]
+    assert [(r.url[-1], r.attempts, r.batch_id) for r in D.committed(spark, out, "dead_letters").collect()] == [("2", 2, 1)]
+    ledger = spark.read.parquet(f"{out}/_ledger").orderBy("batch_id").collect()
+    assert [r.tables.split(",")[0] for r in ledger] == ["pages", "pages"]

@@ -29,6 +29,11 @@ RETRIED = ("fetch",)  # phases whose failures may be gone at the next attempt
 ATTEMPTS = "url string, attempts int, dead boolean"
 
 
+def _no_attempts(spark: SparkSession) -> DataFrame:
+    """The state before any batch.  Rows of a Python list would be read by Python workers of their own, which stay beside those of the functions."""
+    return spark.range(0).select(F.lit(None).cast("string").alias("url"), F.lit(None).cast("int").alias("attempts"), F.lit(None).cast("boolean").alias("dead"))
+
+
 def error_rows(errors: DataFrame, occurred_at) -> DataFrame:
     """K7: whole error rows, with the job of the URL and the time: job_id, url, http_status, error, phase, occurred_at."""
     return job_of_url(errors, "url").select("job_id", "url", "http_status", "error", "phase", F.lit(occurred_at).cast("timestamp").alias("occurred_at"))
@@ -84,7 +89,7 @@ def deliver(out_dir: str, min_word_count: int = 250, crawled_at=DEFAULT_CRAWLED_
         if batch_id in (done := committed_batches(spark, out_dir)):
             return  # delivered whole already
         last = max((b for b in done if b < batch_id), default=None)
-        before = spark.createDataFrame([], ATTEMPTS) if last is None else spark.read.schema(ATTEMPTS).parquet(_path(out_dir, "attempts", last))
+        before = _no_attempts(spark) if last is None else spark.read.schema(ATTEMPTS).parquet(_path(out_dir, "attempts", last))
         pages = job_of_url(crawled_pages(extract_articles(capture_gate(batch)), min_word_count, crawled_at, converter=converter), "url").persist()
         errors = error_rows(page_errors(batch), crawled_at).persist()
         try:
@@ -104,7 +109,7 @@ def deliver(out_dir: str, min_word_count: int = 250, crawled_at=DEFAULT_CRAWLED_
         finally:
             pages.unpersist()
             errors.unpersist()
-        put("_ledger", spark.createDataFrame([("pages,page_events,errors,error_events,summary_events,dead_letters,attempts",)], "tables string"), batch_id)
+        put("_ledger", spark.range(0, 1, 1, 1).select(F.lit("pages,page_events,errors,error_events,summary_events,dead_letters,attempts").alias("tables")), batch_id)
     return write
 
 
@@ -112,5 +117,5 @@ def to_redeliver(spark: SparkSession, out_dir: str) -> DataFrame:
     """URLs that were not acknowledged and are not given up, after the last committed batch."""
     done = committed_batches(spark, out_dir)
     if not done:
-        return spark.createDataFrame([], "url string, attempts int")
+        return _no_attempts(spark).select("url", "attempts")
     return spark.read.schema(ATTEMPTS).parquet(_path(out_dir, "attempts", done[-1])).filter("NOT dead").select("url", "attempts")
